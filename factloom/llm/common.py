@@ -6,16 +6,36 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 _made: list[tuple[SparkSession, str]] = []
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application; theirs may not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = Path(__file__).parents[1]
+    where = tempfile.mkdtemp(prefix="package-")
+    atexit.register(shutil.rmtree, where, ignore_errors=True)
+    archive = Path(where, f"{root.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in root.rglob("*.py"):
+            z.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

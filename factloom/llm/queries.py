@@ -11,6 +11,12 @@ from factloom.llm.common import read
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from factloom.llm.op2_ngram_join import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,7 +47,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_token_counts, op5_warc, op6_packing, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_ngram_jaccard, op4_token_counts, op5_warc, op6_packing, op10_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_warc": """
