@@ -11,12 +11,24 @@ from factloom.llm.common import read
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from factloom.llm.op1_quality import quality
+
+    return quality(read(spark, sf_dir, "documents"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from factloom.llm.op2_ngram_join import near_duplicates
 
     return near_duplicates(read(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from factloom.llm.op3_toxicity import toxicity
+
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("passages")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,9 +59,38 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_ngram_jaccard, op4_token_counts, op5_warc, op6_packing, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_toxicity, op4_token_counts, op5_warc, op6_packing, op10_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": r"""
+        WITH w AS (
+            SELECT doc_id, coalesce(source, chr(1) || 'null') AS host, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents),
+        g AS (SELECT doc_id, unnest(range(len(words) - 7)) AS i, words FROM w WHERE len(words) >= 8),
+        k AS (SELECT doc_id, i, array_to_string(words[i + 1 : i + 8], ' ') AS gram FROM g),
+        d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM k),
+        p AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS prev FROM d WHERE c > 1),
+        r AS (SELECT doc_id, CAST(sum(CASE WHEN prev IS NULL THEN 8 ELSE least(8, i - prev) END) AS BIGINT) AS n FROM p GROUP BY doc_id),
+        m AS (
+            SELECT w.doc_id, host, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                   CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+                   CAST(length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS BIGINT) AS n_capitals,
+                   CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   coalesce(r.n, 0) AS n_repeat_words
+            FROM w LEFT JOIN r ON w.doc_id = r.doc_id),
+        f AS (
+            SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+                   CAST(10 * n_symbols > n_words AS INT) + CAST(10 * n_capitals > 3 * word_chars AS INT) + CAST(2 * n_dup_lines > n_lines AS INT)
+                   + CAST(word_chars < 2 * n_words OR word_chars > 15 * n_words AS INT) AS broken FROM m),
+        h AS (SELECT host, count(*) AS n, sum(CASE WHEN base_failed OR broken > 0 THEN 1 ELSE 0 END) AS bad FROM f GROUP BY host),
+        a AS (SELECT avg(bad / n) AS mean, coalesce(var_samp(bad / n), 0) AS v FROM h),
+        b AS (SELECT mean, greatest(1e0, least(1000e0, mean * (1 - mean) / greatest(v, 1e-12) - 1)) AS weight FROM a),
+        s AS (SELECT host, (bad + mean * weight) / (n + weight) AS rate FROM h, b)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               (NOT base_failed AND rate <= 0.9 AND broken <= CASE WHEN rate < 0.05 THEN 1 ELSE 0 END) AS kept
+        FROM f JOIN s ON f.host = s.host""",
     "op5_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
         t AS (SELECT body, max(page_id) AS target FROM p WHERE octet_length(encode(body)) >= 1000 GROUP BY body)

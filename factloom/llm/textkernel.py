@@ -51,13 +51,16 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[starts[0] : starts[-1]], starts - starts[0]
 
 
-def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and at which of them each text starts (one entry more than texts)."""
+def words(texts: pa.Array, lower: bool = True, between: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and at which of them each text starts (one entry more than texts).
+
+    between: which bytes are no part of a word.
+    """
     data, starts = raw(texts)
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    blank = BLANK[data]
+    blank = between[data]
     before = np.empty(n, bool)
     before[0] = True
     before[1:] = blank[:-1]
