@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
@@ -82,7 +83,7 @@ def clear_scratch(spark: SparkSession) -> None:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the given text column has about `limit` bytes in each (one row at least)."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if total and total + n > limit:
