@@ -57,6 +57,12 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from factloom.llm.op9_suffix_dedup import dedup_digests
+
+    return dedup_digests(read(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -65,7 +71,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_toxicity, op4_token_counts, op5_warc, op6_packing, op8_embedding_dedup, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_toxicity, op4_token_counts, op5_warc, op6_packing, op8_embedding_dedup, op9_suffix_dedup, op10_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": r"""
