@@ -51,6 +51,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from factloom.llm.op7_line_dedup import line_digests
+
+    return line_digests(read(spark, sf_dir, "documents"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from factloom.llm.op8_embeddings import near_vectors
 
@@ -71,7 +77,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_toxicity, op4_token_counts, op5_warc, op6_packing, op8_embedding_dedup, op9_suffix_dedup, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_toxicity, op4_token_counts, op5_warc, op6_packing, op7_line_dedup, op8_embedding_dedup, op9_suffix_dedup, op10_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": r"""
