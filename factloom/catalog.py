@@ -4,12 +4,191 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from factloom.functions import ratings, urls
+from factloom.operators import clustering, relations, serving, store
+from factloom.operators import reviews as rv
+from factloom.oracle import SQL
+from factloom.sources import fixture, pages as pg
+from factloom.streaming import incremental
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+AS_OF = "2024-01-20"
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def on_reviews(name: str, f: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: f(fixture.reviews(spark, sf_dir))
+
+
+def on_both(name: str, f: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: f(fixture.reviews(spark, sf_dir), fixture.registry(spark, sf_dir))
+
+
+def on_table(name: str, table: str, f: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: f(fixture.table(spark, sf_dir, table))
+
+
+
+def rating() -> list[Column]:
+    return [F.col(c) for c in ("alternate_name", "value", "best", "worst")]
+
+
+def link() -> Column:
+    return F.col("url")
+
+
+# Ratings
+on_reviews("rating_label", lambda cr: cr.select("review_id", ratings.credibility_label(*rating()).alias("label")))
+on_reviews("rating_score_textual", lambda cr: cr.select("review_id", ratings.simplified_label(rating()[0]).alias("simplified"), ratings.textual_score(rating()[0]).alias("score")))
+on_reviews("rating_score_numeric", lambda cr: cr.select("review_id", ratings.numeric_score(*rating()[1:]).alias("score")))
+on_reviews("label_prefix_join", lambda cr: relations.prefix_labels(cr.sparkSession, cr))
+
+# Links
+on_table("url_canonical", "pages", lambda p: p.select("page_id", urls.canonical(link()).alias("canonical")))
+on_table("url_strip_tracking", "pages", lambda p: p.select("page_id", urls.clean_query(F.regexp_extract("url", urls.PARTS, 4)).alias("query")))
+on_table("url_host_domain", "pages", lambda p: p.select("page_id", urls.host(link()).alias("domain")))
+on_table("url_registered_domain", "pages", lambda p: p.select("page_id", urls.registered_domain(link()).alias("domain"), urls.is_shortener(link()).alias("shortener"), urls.is_archive(link()).alias("archive")))
+on_table("url_homepage_flag", "pages", lambda p: p.select("page_id", urls.path(link()).isin("", "/", "/permalink.php").alias("homepage")))
+on_table("url_archive_unwrap", "pages", lambda p: p.select("page_id", urls.unwrapped(F.concat(F.lit("https://web.archive.org/web/2022/"), F.replace(link(), F.lit("://"), F.lit(":/")))).alias("target")))
+on_table("tweet_ids", "documents", lambda d: d.select("doc_id", urls.status_id(F.concat(F.when(F.col("doc_id") % 3 == 0, "https://www.twitter.com/a/status/").otherwise("https://twitter.com/u_1/status/"), (F.col("doc_id") * 7919 + 1).cast("string"), F.lit("?s=1"))).alias("tweet_id")))
+on_reviews("appearances_split", lambda cr: cr.select("review_id", F.array_join(urls.split_appearances(F.array("appearance")), "|").alias("parts")))
+on_reviews("appearances_exploded", lambda cr: rv.links_of(cr).select("review_id", "link"))
+on_reviews("appearances_no_self", lambda cr: cr.select("review_id", F.size(urls.appearances(F.array("appearance"), link())).cast("long").alias("n_links")))
+
+
+@query
+def redirect_resolve(spark, sf_dir):
+    return urls.resolved(fixture.table(spark, sf_dir, "pages").select("page_id", "url"), fixture.redirects(spark, sf_dir))
+
+
+@query
+def language_lookup(spark, sf_dir):
+    docs = fixture.table(spark, sf_dir, "documents")
+    cache = docs.where("doc_id % 2 = 0").groupBy(F.md5("text").alias("key")).agg(F.min("lang").alias("language"))
+    return docs.withColumn("key", F.md5("text")).join(cache, "key", "left").select("doc_id", "language")
+
+
+# Registry
+on_both("registry_join", lambda cr, r: relations.with_registry(cr, r).select("review_id", "domain", "country"))
+on_both("registry_semi", lambda cr, r: relations.with_registry(cr, r, "left_semi").select("review_id", "domain"))
+on_both("registry_anti", lambda cr, r: relations.with_registry(cr, r, "left_anti").select("review_id", "domain"))
+on_both("unregistered_domains", lambda cr, r: relations.with_registry(cr, r, "left_anti").groupBy("domain").agg(F.count("*").alias("n_reviews"), F.count_distinct("url").alias("n_urls")))
+on_both("recollection_stats", lambda cr, r: relations.recollection(cr, cr.where("review_id % 3 <> 0"), r))
+
+
+@query
+def recollection_ratio(spark, sf_dir):
+    cr, r = fixture.reviews(spark, sf_dir), fixture.registry(spark, sf_dir)
+    rows = relations.recollection(cr, cr.where("review_id % 3 <> 0"), r)
+    return rows.agg(F.sum("before").alias("total_before"), F.sum("after").alias("total_after"), F.round(F.avg("ratio"), 6).alias("mean_ratio"))
+
+
+on_both("country_distribution", relations.country_distribution)
+
+# Groups
+on_reviews("reviews_by_url", lambda cr: cr.groupBy("url").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list(F.lpad(F.col("review_id").cast("string"), 12, "0"))), ",").alias("reviews")))
+on_reviews("unique_urls_by_source", lambda cr: cr.groupBy("retrieved_by").agg(F.count_distinct("url").alias("n_urls")))
+on_reviews("claim_clusters", clustering.claim_clusters)
+on_reviews("different_texts", rv.different_texts)
+on_reviews("merged_reviews", lambda cr: rv.merged(cr).select("url", "cluster", "domain", "label", F.size("claim_text").cast("long").alias("n_texts"), F.array_join("appearances", "|").alias("links"), F.size("reviews").cast("long").alias("n_reviews")))
+on_reviews("link_conflicts", rv.link_conflicts)
+on_reviews("disagreeing_links", rv.disagreeing)
+
+
+def _flat(links: DataFrame) -> DataFrame:
+    ids = F.array_join(F.transform("reviews", lambda r: r["review_id"].cast("string")), ",")
+    return links.select("misinforming_url", "misinforming_domain", F.size("reviews").cast("long").alias("n_reviews"), ids.alias("reviews"))
+
+
+on_reviews("links_all", lambda cr: _flat(rv.link_table(cr)))
+on_reviews("links_not_credible_full", lambda cr: _flat(rv.link_table(cr, "not_credible")))
+on_reviews("links_not_credible", lambda cr: rv.links_of(cr).where("label = 'not_credible'").select("link").distinct())
+on_reviews("multi_reviewed_links", rv.multi_reviewed)
+on_reviews("wide_reviews", rv.wide_reviews)
+on_reviews("first_review_per_link", rv.first_review)
+on_reviews("label_mapping", rv.label_mapping)
+on_reviews("count_by_domain_label_top100", lambda cr: rv.labelled(cr).groupBy("domain", "label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "domain", "label").limit(100))
+on_reviews("label_histogram", lambda cr: rv.labelled(cr).groupBy("label").agg(F.count("*").alias("n")))
+on_reviews("date_histogram", lambda cr: cr.groupBy(F.col("date_published").cast("string").alias("day")).agg(F.count("*").alias("n")))
+on_both("job_stats", rv.job_stats)
+on_reviews("agree_by_domain", lambda cr: relations.agreeing(rv.labelled(cr), "domain"))
+on_reviews("aggregate_agree", lambda cr: relations.agreeing(rv.labelled(cr), "url"))
+on_reviews("labels_per_author", lambda cr: rv.labelled(cr).groupBy("retrieved_by").agg(F.count_distinct("label").alias("n_labels")))
+on_table("json_path_counts", "events", lambda e: relations.json_path_counts(e, "props"))
+
+# Service
+on_reviews("filter_satisfy", lambda cr: rv.link_table(cr).where(serving.satisfies(since="2019-01-01")).select("misinforming_url"))
+on_reviews("filter_since_until", lambda cr: rv.link_table(cr).where(serving.satisfies(since="2024-01-25", until="2024-01-03", exclude=())).select("misinforming_url"))
+on_reviews("snapshot_range", lambda cr: serving.snapshots(cr.select(F.date_format("date_published", "yyyy_MM_dd").alias("date")).where("date IS NOT NULL").distinct(), "2024_01_10", "2024_01_20"))
+on_reviews("topic_extract", lambda cr: serving.topic_extract(rv.link_table(cr), words=["the", "que"], after="2024-01-10"))
+on_reviews("latest_100", lambda cr: serving.latest(cr, AS_OF).select("review_id", "url", F.col("date_published").cast("string").alias("day")))
+
+
+@query
+def latest_10_with_page(spark, sf_dir):
+    return serving.latest_with_page(fixture.reviews(spark, sf_dir), fixture.table(spark, sf_dir, "pages"), AS_OF).select("review_id", "url", "title")
+
+
+on_reviews("top50_domains", lambda cr: rv.labelled(cr).groupBy("domain").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "domain").limit(50))
+on_reviews("first100_per_checker", lambda cr: serving.first_per_checker(cr).select("domain", "review_id", F.col("place").cast("long").alias("place")))
+on_reviews("dedupe_last_wins", lambda cr: relations.newest_by_key(cr, "url", "review_id").select("url", "review_id"))
+on_reviews("cursor_sample", lambda cr: serving.cursor_sample(rv.link_table(cr), serving.satisfies(since="2024-01-20", exclude=()), "seed", 17))
+
+# Sets and the store
+on_reviews("union_sources", lambda cr: cr.where("k = 0").select("review_id", "url").unionByName(cr.where("k < 2").select("review_id", "url")))
+on_reviews("except_known_urls", lambda cr: relations.unknown(cr.select("review_id", "url"), cr.where("review_id % 5 = 0")).select("review_id", "url"))
+on_reviews("merge_precedence", lambda cr: relations.merged_by_precedence([cr.where("k = 0").select("url", "review_id"), cr.where("k = 1 AND review_id % 2 = 0").select("url", "review_id")], "url"))
+on_reviews("upsert_reviews", lambda cr: store.upserted(cr.where("k = 0").select("url", "review_id"), cr.where("k = 2 AND review_id % 3 = 0").select("url", "review_id"), "url"))
+on_reviews("replace_source_partition", lambda cr: store.replaced(cr.select("review_id", "retrieved_by"), cr.where("k = 0 AND review_id % 2 = 0").select("review_id"), "src1").groupBy("retrieved_by").agg(F.count("*").alias("n")))
+on_table("page_title", "pages", lambda p: p.select("page_id", pg.title(F.col("html")).alias("title")))
+
+
+def _with_jsonld(spark, sf_dir, graph: bool, broken: bool) -> DataFrame:
+    """Pages with a review made of their number put into a script."""
+    rows = fixture.table(spark, sf_dir, "pages").select("page_id", "url")
+    claim = F.lit('a "quoted" claim') if broken else F.lit("a claim")
+    doc = F.concat(F.lit('{"@type":"ClaimReview","url":"u'), F.col("page_id").cast("string"), F.lit('","claimReviewed":"'), claim, F.lit('","reviewRating":{"alternateName":"False"}}'))
+    doc = F.concat(F.lit('{"@graph":[{"@type":"Person"},'), doc, F.lit("]}")) if graph else doc
+    html = F.concat(F.lit('<html><script type="application/ld+json">'), doc, F.lit("</script></html>"))
+    out = pg.jsonld(rows.select(F.col("page_id").cast("string").alias("url"), html.alias("html")))
+    return out.select(F.col("url").cast("long").alias("page_id"), F.expr("try_variant_get(doc, '$.claimReviewed', 'string')").alias("claim"), pg.textual_label().alias("label"))
+
+
+QUERIES["jsonld_extract"] = lambda spark, sf_dir: _with_jsonld(spark, sf_dir, False, False)
+QUERIES["jsonld_graph_extract"] = lambda spark, sf_dir: _with_jsonld(spark, sf_dir, True, False)
+QUERIES["jsonld_repair"] = lambda spark, sf_dir: _with_jsonld(spark, sf_dir, False, True)
+
+
+@query
+def microdata_extract(spark, sf_dir):
+    rows = fixture.table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("url"))
+    html = F.concat(F.lit('<div itemscope itemtype="http://schema.org/ClaimReview"><span itemprop="claimReviewed">claim '), "url", F.lit('</span><div itemprop="reviewRating" itemscope><meta itemprop="alternateName" content="False"></div></div>'))
+    out = pg.microdata(rows.withColumn("html", html))
+    return out.select(F.col("url").cast("long").alias("page_id"), F.col("properties")["claimReviewed"].alias("claim"), F.col("properties")["reviewRating.alternateName"].alias("label"))
+
+
+@query
+def embedding_pairs(spark, sf_dir):
+    rows = fixture.table(spark, sf_dir, "embeddings")
+    return clustering.embedding_pairs(rows, 0.9).select("i", "j")
+
+
+on_table("embedding_clusters", "embeddings", clustering.embedding_clusters)
+on_table("events_tumbling", "events", incremental.tumbling)
+on_table("events_session", "events", incremental.sessions)
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
