@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm import sketch
 from factloom.llm.common import materialise, runs, slices
-from factloom.llm.components import connected_components
+from factloom.llm.components import connected_components, stars
 from factloom.llm.textkernel import shingle_sets
 from factloom.llm.triejoin import join_group
 
@@ -64,7 +64,7 @@ def document_sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_shingles long, sig binary, prefix array<long>")
 
 
-def probes(nodes: DataFrame, table: np.ndarray, num: int, den: int) -> DataFrame:
+def probes(nodes: DataFrame, table: sketch.Table, num: int, den: int) -> DataFrame:
     """key, doc_id for the probing n-grams of each node that other nodes have too."""
     shared = nodes.sparkSession.sparkContext.broadcast(table)
 
@@ -85,7 +85,7 @@ def probes(nodes: DataFrame, table: np.ndarray, num: int, den: int) -> DataFrame
 
 
 def links_in_cells(placed: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Forest edges a, b of placed(cell, side, doc_id, text), whose rows of a cell are met in one task.
+    """Edges a, b to the smallest node of each connected part in the cells of placed(cell, side, doc_id, text), whose rows of a cell are met in one task.
 
     side is null if all of a cell are to be joined, else which of its two blocks a row belongs to.
     """
@@ -98,17 +98,17 @@ def links_in_cells(placed: DataFrame, words: int, num: int, den: int) -> DataFra
             side = table["side"].to_pylist()
             full = [i for i, s in enumerate(sets) if len(s)]
             cross = None if side[0] is None else np.array([side[i] for i in full], bool)
-            found = join_group([sets[i] for i in full], num, den, cross)
+            found = stars([(ids[full[i]], ids[full[j]]) for i, j in join_group([sets[i] for i in full], num, den, cross)])
             if found:
                 a, b = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([ids[full[i]] for i in x], pa.int64()) for x in (a, b)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return placed.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, "a long, b long")
 
 
 def only_known(docs: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
     """Rows of docs whose doc_id may be in ids(doc_id); few others pass. Spares a shuffle of all texts."""
-    table = docs.sparkSession.sparkContext.broadcast(sketch.build(ids.select(F.col("doc_id").alias("key"), F.lit(2).cast("long").alias("n")), n_ids))
+    table = docs.sparkSession.sparkContext.broadcast(sketch.build(ids.select(F.col("doc_id").alias("key"), F.lit(2).cast("long").alias("n")), n_ids, members=True))
 
     def work(batches):
         for batch in batches:

@@ -9,6 +9,7 @@ keys up to `most_bits`, so what is sent to the driver and broadcast is bounded a
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +25,23 @@ def _cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(mix(keys.view(np.uint64) ^ s) >> np.uint64(64 - bits)).astype(np.int64) for s in SEEDS]
 
 
-def look_up(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """0 for keys that are not in the table, else 1 + floor(log2(count)) or more."""
-    a, b = _cells(keys, len(table).bit_length() - 1)
-    return np.minimum(table[a], table[b])
+@dataclass
+class Table:
+    cells: np.ndarray  # a byte for each cell, or its bits if only membership is kept
+    bits: int
+    members: bool
 
 
-def build(counts: DataFrame, n_keys: int, most_bits: int = 26) -> np.ndarray:
-    """The table of counts(key long, n long), which has n_keys rows."""
+def look_up(table: Table, keys: np.ndarray) -> np.ndarray:
+    """0 for keys that are not in the table, else 1 + floor(log2(count)) or more (1 if only membership is kept)."""
+    a, b = _cells(keys, table.bits)
+    if table.members:
+        return (table.cells[a >> 3] >> (a & 7).astype(np.uint8)) & (table.cells[b >> 3] >> (b & 7).astype(np.uint8)) & np.uint8(1)
+    return np.minimum(table.cells[a], table.cells[b])
+
+
+def build(counts: DataFrame, n_keys: int, most_bits: int = 26, members: bool = False) -> Table:
+    """The table of counts(key long, n long), which has n_keys rows; members: only that a key is there."""
     bits = min(most_bits, max(BLOCK_BITS, (12 * n_keys).bit_length()))
 
     def sparse(batches):
@@ -56,11 +66,14 @@ def build(counts: DataFrame, n_keys: int, most_bits: int = 26) -> np.ndarray:
         for x in table["entries"]:
             entry = np.frombuffer(x.as_py(), [("low", "<u2"), ("kind", "u1")])
             np.maximum.at(out, entry["low"], entry["kind"])
+        if members:
+            out = np.packbits(out > 0, bitorder="little")
         return pa.table({"block": table["block"][:1], "cells": pa.array([zlib.compress(out.tobytes(), 1)], pa.binary())})
 
-    table = np.zeros(1 << bits, np.uint8)
+    size = 1 << BLOCK_BITS >> (3 if members else 0)
+    cells = np.zeros(size << (bits - BLOCK_BITS), np.uint8)
     blocks = counts.select("key", "n").mapInArrow(sparse, "block long, entries binary").groupBy("block").applyInArrow(dense, "block long, cells binary")
     for row in blocks.collect():  # at most 2**most_bits bytes in all
-        at = row["block"] << BLOCK_BITS
-        table[at : at + (1 << BLOCK_BITS)] = np.frombuffer(zlib.decompress(row["cells"]), np.uint8)
-    return table
+        at = row["block"] * size
+        cells[at : at + size] = np.frombuffer(zlib.decompress(row["cells"]), np.uint8)
+    return Table(cells, bits, members)
