@@ -69,7 +69,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete materialised tables from which nothing is to be read any more."""
+    for table in tables:
+        if table is not None:
+            spark = table.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            _made.remove((spark, table.scratch_path))
 
 
 def clear_scratch(spark: SparkSession) -> None:
@@ -92,6 +104,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_00
             total += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # the worker lives on, its texts don't
 
 
 def table_batches(columns: dict, schema: pa.Schema) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,12 @@ class Substrings:
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(table[data] * up[:-1], out=self.sums[1:])
 
+    def every(self, length: int) -> np.ndarray:
+        """The hashes of all substrings of one length."""
+        out = self.sums[length:] - self.sums[:-length]
+        out *= self.down[: len(out)]
+        return out
+
     def hash(self, at: np.ndarray, length) -> np.ndarray:
         return (self.sums[at + length] - self.sums[at]) * self.down[at]
 
