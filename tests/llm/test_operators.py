@@ -281,6 +281,11 @@ def test_line_dedup(spark, empty, limit):
     assert op7_line_dedup.line_digests(empty).count() == 0
 
 
+def test_line_dedup_takes_short_lines(spark):
+    docs = documents(spark, [(1, "Un.\nOf.\n\n \nThe little fox jumps over"), (2, "Of.\n\n \nthe little fox jumps over\nUn"), (3, "Of.\nUn.\n\u00a0")])
+    assert {tuple(x) for x in op7_line_dedup.repeated_lines(docs).collect()} == {(2, 0), (2, 3), (3, 0), (3, 1)}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((4, 64))
