@@ -286,6 +286,29 @@ def test_line_dedup_takes_short_lines(spark):
     assert {tuple(x) for x in op7_line_dedup.repeated_lines(docs).collect()} == {(2, 0), (2, 3), (3, 0), (3, 1)}
 
 
+def test_line_limit_follows_the_length(spark):
+    r = random.Random(5)
+    base = ["".join(r.choice("abcdefgh ") for _ in range(n)) for n in (19, 30, 45, 90, 98, 103, 130, 250, 420, 900)]
+    lines = list(base)
+    for b in base:
+        for share in (1, 2, 3, 3, 4, 5):
+            x = list(b)
+            for _ in range(max(1, len(b) * share // 100)):
+                at = r.randrange(len(x))
+                x[at : at + r.randrange(2)] = r.choice(["", "z", "y", "xx"])
+            lines.append("".join(x))
+    bodies = sorted({x.encode() for x in lines if x.strip()})
+    limit = {b: int(op7_line_dedup.limits(np.array([len(b)]), None)[0]) for b in bodies}
+    comps = components(bodies, [(a, b) for a in bodies for b in bodies if a < b and abs(len(a) - len(b)) <= 40 and edit_distance(a, b) <= min(limit[a], limit[b])])
+    rows = [(i, x) for i, x in enumerate(lines)]
+    first = {}
+    for i, x in rows:
+        first.setdefault(comps[x.encode()], i)
+    gone = {(i, 0) for i, x in rows if first[comps[x.encode()]] != i}
+    assert len({len(lines[i]) for i, _ in gone}) > 12
+    assert {tuple(x) for x in op7_line_dedup.repeated_lines(documents(spark, rows)).collect()} == gone
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((4, 64))
