@@ -73,14 +73,18 @@ def multi_reviewed(reviews: DataFrame) -> DataFrame:
     return rows.where(F.size("d") > 1).select("link", F.size("d").cast("long").alias("n_domains"), F.array_join("d", ",").alias("domains"))
 
 
-def wide_reviews(reviews: DataFrame, most: int = 3) -> DataFrame:
-    """Links of two domains or more, with the last review of each of the first `most` domains side by side."""
+def wide_reviews(reviews: DataFrame, least: int = 3) -> DataFrame:
+    """Links of two domains or more, with the last review of each domain side by side.
+
+    There are columns for as many domains as any link has, and for `least` at least.
+    """
     last = links_of(reviews).groupBy("link", "domain").agg(F.max_by(F.struct("url", "label", "alternate_name"), "review_id").alias("r"))
     place = F.row_number().over(Window.partitionBy("link").orderBy("domain")) - 1
     count = F.count("*").over(Window.partitionBy("link"))
     rows = last.withColumn("i", place).withColumn("n", count).where("n > 1")
+    widest = links_of(reviews).groupBy("link").agg(F.count_distinct("domain").alias("n")).agg(F.max("n")).first()[0]
     pick = lambda i, c: F.max(F.when(F.col("i") == i, F.col(c)))
-    cols = [pick(i, c).alias(f"{name}_{i}") for i in range(most) for c, name in (("domain", "review_domain"), ("r.url", "review_url"), ("r.label", "label"), ("r.alternate_name", "original_label"))]
+    cols = [pick(i, c).alias(f"{name}_{i}") for i in range(max(least, widest or 0)) for c, name in (("domain", "review_domain"), ("r.url", "review_url"), ("r.label", "label"), ("r.alternate_name", "original_label"))]
     return rows.groupBy("link").agg(F.count("*").alias("n_domains"), *cols)
 
 

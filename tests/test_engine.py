@@ -172,3 +172,14 @@ def test_sets(spark):
     assert sorted(relations.merged_by_precedence([rows.where("n = 1"), rows.where("n = 2")], "url").collect()) == [("a", 2), ("b", 1)]
     assert math.isclose(relations.recollection(rows.withColumn("url", F.concat(F.lit("http://"), "url")), rows.limit(0), spark.createDataFrame([("a", "x")], "domain string, country string")).first()["ratio"], 0.0)
     assert isinstance(rows.schema, T.StructType)
+
+
+def test_wide_reviews_keeps_every_domain(spark):
+    rows = [(i, f"https://site{i}.org/a", "False", 5, 1, 1, "https://bad.example/x" if i < 5 else "https://bad.example/y") for i in range(7)]
+    reviews = spark.createDataFrame(rows, "review_id long, url string, alternate_name string, best int, worst int, value int, appearance string")
+    wide = {r["link"]: r.asDict() for r in rv.wide_reviews(reviews).collect()}
+    assert sorted(r["n_domains"] for r in wide.values()) == [2, 5]
+    for r in wide.values():
+        assert sum(r[f"review_domain_{i}"] is not None for i in range(5)) == r["n_domains"]
+        assert sum(r[f"review_url_{i}"] is not None for i in range(5)) == r["n_domains"]
+    assert "review_domain_5" not in next(iter(wide.values()))
