@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -92,8 +94,25 @@ def clear_scratch(spark: SparkSession) -> None:
         _made.remove((s, path))
 
 
+def released() -> None:
+    """Give back to the system what a finished task has freed: the worker lives on, its texts don't."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the given text column has about `limit` bytes in each (one row at least)."""
+    try:
+        yield from _slices(batches, column, limit)
+    finally:
+        released()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_pylist()
         start = total = 0
@@ -104,7 +123,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_00
             total += n
         if start < batch.num_rows:
             yield batch.slice(start)
-    pa.default_memory_pool().release_unused()  # the worker lives on, its texts don't
 
 
 def table_batches(columns: dict, schema: pa.Schema) -> Iterator[pa.RecordBatch]:

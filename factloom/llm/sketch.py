@@ -1,9 +1,10 @@
 """A bounded table that tells, for 64-bit keys, a class of how often each occurs in the corpus.
 
 The exact counts of keys that occur twice or more are classed by powers of two and written into an array of
-bytes, two cells a key; a look-up takes the lesser cell. It never says too little; with more keys than cells it
-says too much ever more often, which costs time but loses nothing. The array's size follows the number of
-keys up to `most_bits`, so what is sent to the driver and broadcast is bounded at every size of the input.
+bytes (of bits if only membership is kept), two cells a key; a look-up takes the lesser cell. It never says too
+little. The array's size follows the number of keys up to `MOST_BITS`, so what is sent to the driver and broadcast is
+bounded at every size of the input (64 MB). More keys than `fits` says would make it say too much ever more often; callers then
+join by key instead, to the same result.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from factloom.llm.textkernel import mix
 
@@ -32,6 +34,15 @@ class Table:
     members: bool
 
 
+#: Cells are 2 to this at most: bytes for classes of counts, bits for members.
+MOST_BITS = {False: 26, True: 29}
+
+
+def fits(n_keys: int, members: bool = False) -> bool:
+    """Whether a table of that many keys still turns nearly all others away (9 in 10 or more)."""
+    return 6 * n_keys <= 1 << MOST_BITS[members]
+
+
 def look_up(table: Table, keys: np.ndarray) -> np.ndarray:
     """0 for keys that are not in the table, else 1 + floor(log2(count)) or more (1 if only membership is kept)."""
     a, b = _cells(keys, table.bits)
@@ -40,9 +51,9 @@ def look_up(table: Table, keys: np.ndarray) -> np.ndarray:
     return np.minimum(table.cells[a], table.cells[b])
 
 
-def build(counts: DataFrame, n_keys: int, most_bits: int = 26, members: bool = False) -> Table:
+def build(counts: DataFrame, n_keys: int, members: bool = False) -> Table:
     """The table of counts(key long, n long), which has n_keys rows; members: only that a key is there."""
-    bits = min(most_bits, max(BLOCK_BITS, (12 * n_keys).bit_length()))
+    bits = min(MOST_BITS[members], max(BLOCK_BITS, (12 * n_keys).bit_length()))
 
     def sparse(batches):
         held: dict[int, list[bytes]] = {}
@@ -73,7 +84,27 @@ def build(counts: DataFrame, n_keys: int, most_bits: int = 26, members: bool = F
     size = 1 << BLOCK_BITS >> (3 if members else 0)
     cells = np.zeros(size << (bits - BLOCK_BITS), np.uint8)
     blocks = counts.select("key", "n").mapInArrow(sparse, "block long, entries binary").groupBy("block").applyInArrow(dense, "block long, cells binary")
-    for row in blocks.collect():  # at most 2**most_bits bytes in all
+    for row in blocks.collect():  # at most 64 MB in all
         at = row["block"] * size
         cells[at : at + size] = np.frombuffer(zlib.decompress(row["cells"]), np.uint8)
     return Table(cells, bits, members)
+
+
+def parted(rows: DataFrame, column: str, ids: DataFrame, n_ids: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose `column` may be among ids (one column of distinct whole numbers), and the others, which surely aren't
+    and needn't be shuffled (None where ids are too many to tell). Null is not among them."""
+    if not fits(n_ids, members=True):
+        return rows, None
+    table = build(ids.select(F.col(ids.columns[0]).alias("key"), F.lit(2).cast("long").alias("n")), n_ids, members=True)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def part(wanted: bool):
+        def work(batches):
+            for batch in batches:
+                there = look_up(shared.value, batch[column].fill_null(0).to_numpy()) > 0
+                there &= batch[column].is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(there == wanted))
+
+        return rows.mapInArrow(work, rows.schema)
+
+    return part(True), part(False)

@@ -10,11 +10,28 @@ from __future__ import annotations
 
 import numpy as np
 
-from factloom.llm.textkernel import BYTE, powers
+from factloom.llm.textkernel import BYTE, FIELD_BYTES, field_powers, fold, mix, powers, remainder
+
+
+class FieldHashes:
+    """Hashes of 62 bits of substrings of one array of bytes, by two prefix polynomials over a prime field."""
+
+    def __init__(self, data: np.ndarray):
+        self.data = data
+        self.down, self.sums = [], []
+        for (up, down), table in zip(field_powers(len(data) + 1), FIELD_BYTES, strict=True):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(fold(table[data] * up[:-1]), out=sums[1:])  # of numbers under 2**32: exact
+            self.down.append(down)
+            self.sums.append(sums)
+
+    def hash(self, at: np.ndarray, length) -> np.ndarray:
+        high, low = (remainder(remainder(sums[at + length] - sums[at]) * down[at]) for sums, down in zip(self.sums, self.down, strict=True))
+        return mix(high << np.uint64(31) | low)
 
 
 class Substrings:
-    """Hashes of substrings of one array of bytes."""
+    """Keys of substrings of one array of bytes: equal for equal strings, nothing more (modulo 2**64)."""
 
     def __init__(self, data: np.ndarray, table: np.ndarray = BYTE):
         up, self.down = powers(len(data) + 1)

@@ -1,7 +1,9 @@
-"""Hashes of words and word shingles for many texts at a time, with numpy over the UTF-8 bytes.
+"""Hashes of words, lines, windows and word shingles for many texts at a time, with numpy over the UTF-8 bytes.
 
-Words are maximal runs of bytes other than 0x20 and 0x09-0x0D. A word's hash is a sum of table values times
-powers of an odd number modulo 2**64, mixed afterwards; equal words have equal hashes everywhere.
+Words are maximal runs of bytes other than 0x20 and 0x09-0x0D. Two polynomial hashes over the field of 2**31 - 1,
+each with a base of its own, make one of 62 bits, which is mixed afterwards; equal strings have equal hashes
+everywhere, and strings built to collide modulo 2**64 don't collide here. Polynomials modulo 2**64 serve only as keys
+that may bring strings together, never to tell that they are equal.
 """
 
 from __future__ import annotations
@@ -18,7 +20,15 @@ _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE = _rng.integers(0, 2**64, 256, np.uint64) | np.uint64(1)
 PLACE = _rng.integers(0, 2**64, 64, np.uint64) | np.uint64(1)
 BASE = int(_rng.integers(0, 2**63, dtype=np.uint64)) * 2 + 1
+PRIME = 2**31 - 1
+FIELD = np.uint64(PRIME)
+BASES = tuple(int(x) for x in _rng.integers(2**20, PRIME, 2))
+FIELD_BYTES = tuple(_rng.integers(1, PRIME, 256).astype(np.uint64) for _ in BASES)
 _powers: dict[str, np.ndarray] = {}
+#: Tables of powers that are kept between calls have so many entries at most.
+KEPT_POWERS = 1 << 20
+#: Bytes whose words are hashed at once, unless a single word is longer.
+STRETCH = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,7 +42,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of BASE and of its inverse."""
+    """The first n powers of BASE and of its inverse, modulo 2**64."""
     if len(_powers.get("up", ())) < n:
         size = 1 << max(16, n.bit_length())
         for name, base in (("up", BASE), ("down", pow(BASE, -1, 2**64))):
@@ -40,11 +50,45 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             table[0] = 1
             _powers[name] = np.cumprod(table)
     up, down = _powers["up"][:n], _powers["down"][:n]
-    if n > 1 << 23:
+    if n > KEPT_POWERS:
         _powers.clear()
     return up, down
 
 
+def fold(x: np.ndarray) -> np.ndarray:
+    """A smaller number (under 2**32 if x is under 2**62) of the same remainder by PRIME."""
+    return (x & FIELD) + (x >> np.uint64(31))
+
+
+def remainder(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for x under 2**63."""
+    x = fold(fold(x))
+    x[x >= FIELD] -= FIELD
+    return x
+
+
+def field_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each of BASES, the first n powers of it and of its inverse in the field."""
+    if "field" not in _powers or len(_powers["field"][0][0]) < n:
+        size = 1 << max(16, n.bit_length())
+        tables = []
+        for base in BASES:
+            pair = []
+            for b in (base, pow(base, -1, PRIME)):
+                table = np.ones(size, np.uint64)
+                have = 1
+                while have < size:
+                    table[have : 2 * have] = remainder(table[:have] * np.uint64(pow(b, have, PRIME)))
+                    have *= 2
+                pair.append(table)
+            tables.append(tuple(pair))
+        _powers["field"] = tables
+    out = [(up[:n], down[:n]) for up, down in _powers["field"]]
+    if n > KEPT_POWERS:
+        _powers.clear()
+    return out
+
+
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, and where each starts (one entry more than texts); nulls are empty."""
     texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
@@ -71,11 +115,22 @@ def words(texts: pa.Array, lower: bool = True, between: np.ndarray = BLANK) -> t
     first = np.flatnonzero(before & ~blank)
     if not len(first):
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    up, down = powers(n)
-    value = BYTE[LOWER[data] if lower else data]
-    value[blank] = 0
-    value *= up
-    hashes = mix(np.add.reduceat(value, first) * down[first])
+    hashes = np.empty(len(first), np.uint64)
+    stop = np.r_[first[1:], n]
+    at = 0
+    while at < len(first):  # words are taken by stretches of the text, so the tables stay small
+        to = max(at + 1, int(np.searchsorted(stop, first[at] + STRETCH, side="right")))
+        begin, end = int(first[at]), int(stop[to - 1])
+        part = data[begin:end]
+        where, until = first[at:to] - begin, stop[at:to] - begin - 1
+        halves = []
+        for (up, down), table in zip(field_powers(end - begin), FIELD_BYTES, strict=True):
+            value = np.where(between, 0, table[LOWER] if lower else table).astype(np.uint64)[part]
+            value *= up
+            sums = np.cumsum(fold(value))  # of numbers under 2**32: exact
+            halves.append(remainder(remainder(sums[until] - sums[where] + fold(value[where])) * down[where]))
+        hashes[at:to] = mix(halves[0] << np.uint64(31) | halves[1])
+        at = to
     return hashes, np.searchsorted(first, starts)
 
 
