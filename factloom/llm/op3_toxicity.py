@@ -5,14 +5,17 @@ Dirichlet prior in proportion to the tokens of both. Those surely on the toxic s
 `least_docs` toxic documents or more) form a lexicon of at most `most_tokens`; each other token costs `drift`. A
 linear scan finds all maximal scoring segments of a text (Ruzzo and Tompa, 1999). By Karlin and Altschul (1990)
 a segment of score S in n tokens is met K n exp(-lambda S) times by chance, lambda being the root of the scores'
-moment equation over clean text; those met under `most_expected` times are the toxic passages. The documents'
-scores join the best passage, the sum of all and the lexicon's share in a logistic calibration.
+moment equation over clean text and K fitted to the best segments of clean training documents; those met under
+`most_expected` times are the toxic passages. The documents' scores join the best passage, the sum of all and the
+lexicon's share in a logistic calibration.
 
 Labels are read only for documents whose crc32(doc_id as text) mod 5 is not 0, and of those at most
 `sample` (default 200,000, the first by a hash of doc_id): the classifier's documented bound. Corpus passes cover all rows.
 
 Null and empty texts have no passage and get the score of such documents. Labels that are null are passed
 over; repeated labels of a document count once (the largest); with no label of either class every score is 0.
+Very long texts are scanned whole, in time linear in their tokens. Of segments of equal sums the first and shortest is
+taken; a score of 0.5 exactly is predicted toxic. Rows that repeat a doc_id are scored each. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ from factloom.llm.textkernel import words
 
 #: Bytes between tokens: ASCII other than letters and digits.
 BETWEEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-KARLIN_K = 0.1
+#: K of the calibration is held to this range, so that passages can be listed before it is known.
+LEAST_K, MOST_K = 1e-3, 1.0
 
 
 @dataclass
@@ -51,23 +55,27 @@ class Lexicon:
 
 
 def maximal_segments(at: list[int], scores: list[float], drift: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first, last, score) of a text, from its positive tokens alone."""
-    found: list[list] = []  # [first, last, sum before it, sum up to its end]
+    """All maximal scoring segments (first, last, score) of a text, from its positive tokens alone, in linear time.
+
+    Each candidate keeps a link to the nearest earlier one with a lesser sum before it. Those between the two have no
+    lesser sum than it, so a later search that gets to it goes on from its link, and passes by them for good.
+    """
+    found: list[tuple] = []  # first, last, sum before it, sum up to its end, link
     total, last = 0.0, -1
     for p, s in zip(at, scores, strict=True):
         total -= drift * (p - last - 1)
-        new = [p, p, total, total + s]
-        total, last = total + s, p
+        first, low, high, k = p, total, total + s, len(found) - 1
+        total, last = high, p
         while True:
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= new[2]:
-                k -= 1
-            if k < 0 or found[k][3] >= new[3]:
-                found.append(new)
+            while k >= 0 and found[k][2] >= low:
+                k = found[k][4]
+            if k < 0 or found[k][3] >= high:
+                found.append((first, p, low, high, k))
                 break
-            new = [found[k][0], new[1], found[k][2], new[3]]
+            first, _, low, _, link = found[k]
             del found[k:]
-    return [(a, b, high - low) for a, b, low, high in found]
+            k = link
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 def chance_rate(scores: np.ndarray, shares: np.ndarray, drift: float) -> float:
@@ -133,29 +141,43 @@ def fit_lexicon(docs: DataFrame, known: dict[str, np.ndarray], least_z: float =
     return Lexicon(tokens[order], scores, drift, chance_rate(scores, top["share"].to_numpy(float)[order], drift))
 
 
-def passages_of(lexicon: Lexicon, hashes: np.ndarray, most_expected: float) -> tuple[list[tuple[int, int, float]], int]:
-    """Toxic passages (first token, last token, -ln of the expected number) and how many tokens are in the lexicon."""
+def passages_of(lexicon: Lexicon, hashes: np.ndarray) -> tuple[list[tuple[int, int, float]], int, float]:
+    """Segments (first token, last token, -ln of the number expected by chance if K were 1) that may be toxic passages,
+    how many tokens are in the lexicon, and the best segment's lambda S (0 if there is none)."""
     at, scores = lexicon.hits(hashes)
     if not len(at):
-        return [], 0
-    base = math.log(KARLIN_K * max(1, len(hashes)))
-    found = [(a, b, lexicon.rate * s - base) for a, b, s in maximal_segments(at.tolist(), scores.tolist(), lexicon.drift)]
-    return [x for x in found if x[2] >= -math.log(most_expected)], len(at)
+        return [], 0, 0.0
+    base = math.log(max(1, len(hashes)))
+    found = [(a, b, lexicon.rate * s) for a, b, s in maximal_segments(at.tolist(), scores.tolist(), lexicon.drift)]
+    return [(a, b, x - base) for a, b, x in found if x - base >= math.log(LEAST_K)], len(at), max(x for _, _, x in found)
 
 
-def passages(docs: DataFrame, lexicon: Lexicon, most_expected: float = 1.0) -> DataFrame:
-    """doc_id, n_tokens, n_hits and the toxic passages (spans in tokens, each with -ln of its expected number)."""
+def segments(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """doc_id, n_tokens, n_hits, best and the segments that may be toxic passages (spans in tokens)."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def scan(batches):
         for batch in slices(batches, "text"):
             h, starts = words(batch["text"], between=BETWEEN)
-            rows = [(b - a, *passages_of(shared.value, h[a:b], most_expected)[::-1]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
-            spans = [[{"first": a, "last": b, "surprise": e} for a, b, e in r[2]] for r in rows]
+            rows = [(b - a, *passages_of(shared.value, h[a:b])) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+            spans = [[{"first": a, "last": b, "surprise": e} for a, b, e in r[1]] for r in rows]
             kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("surprise", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(spans, kind)], ["doc_id", "n_tokens", "n_hits", "passages"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([r[0] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.float64()), pa.array(spans, kind)], ["doc_id", "n_tokens", "n_hits", "best", "passages"])
+
+    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n_tokens long, n_hits long, best double, passages array<struct<first long, last long, surprise double>>")
+
+
+def chance_constant(clean: DataFrame) -> float:
+    """K, by maximum likelihood over clean documents: the best of n tokens is S or less with probability
+    exp(-K n exp(-lambda S)), and documents without any segment tell only that theirs is 0 or less."""
+    got = clean.agg(F.count_if(F.col("best") > 0).alias("n"), F.sum(F.col("n_tokens") * F.exp(-F.col("best"))).alias("size")).first()
+    return min(MOST_K, max(LEAST_K, got["n"] / got["size"])) if got["size"] else LEAST_K
+
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n_tokens long, n_hits long, passages array<struct<first long, last long, surprise double>>")
+def surprising(found: DataFrame, k: float, most_expected: float) -> DataFrame:
+    """found with the toxic passages alone: those met under most_expected times by chance, with -ln of that number."""
+    spans = F.transform("passages", lambda p: F.struct(p["first"].alias("first"), p["last"].alias("last"), (p["surprise"] - F.lit(math.log(k))).alias("surprise")))
+    return found.withColumn("passages", F.filter(spans, lambda p: p["surprise"] >= F.lit(-math.log(most_expected))))
 
 
 def features() -> list[F.Column]:
@@ -182,9 +204,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 200_000, most_exp
     """doc_id, held_out, score, predicted, n_passages, passages of every row of docs."""
     known = training_labels(labels, sample)
     lexicon = fit_lexicon(docs, known)
-    found = materialise(passages(docs, lexicon, most_expected), "passages")
+    found = materialise(segments(docs, lexicon), "segments")
     ids = docs.sparkSession.createDataFrame(pa.table({"doc_id": known["doc_id"], "toxic": known["toxic"]}))
-    seen = found.join(F.broadcast(ids), "doc_id").select(*[f.alias(f"x{i}") for i, f in enumerate(features())], "toxic").limit(2 * sample).toPandas()
+    labelled = found.join(F.broadcast(ids), "doc_id")  # at most `sample` labels
+    found = surprising(found, k := chance_constant(labelled.where("toxic = 0")), most_expected)
+    seen = surprising(labelled, k, most_expected).select(*[f.alias(f"x{i}") for i, f in enumerate(features())], "toxic").toPandas()
     names = [c for c in seen.columns if c != "toxic"]
     y = seen["toxic"].to_numpy(float)
     if len(y) and 0 < y.sum() < len(y):
