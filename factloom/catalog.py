@@ -60,7 +60,7 @@ on_table("url_homepage_flag", "pages", lambda p: p.select("page_id", urls.path(l
 on_table("url_archive_unwrap", "pages", lambda p: p.select("page_id", urls.unwrapped(F.concat(F.lit("https://web.archive.org/web/2022/"), F.replace(link(), F.lit("://"), F.lit(":/")))).alias("target")))
 on_table("tweet_ids", "documents", lambda d: d.select("doc_id", urls.status_id(F.concat(F.when(F.col("doc_id") % 3 == 0, "https://www.twitter.com/a/status/").otherwise("https://twitter.com/u_1/status/"), (F.col("doc_id") * 7919 + 1).cast("string"), F.lit("?s=1"))).alias("tweet_id")))
 on_reviews("appearances_split", lambda cr: cr.select("review_id", F.array_join(urls.split_appearances(F.array("appearance")), "|").alias("parts")))
-on_reviews("appearances_exploded", lambda cr: rv.links_of(cr).select("review_id", "link"))
+on_reviews("appearances_exploded", lambda cr: rv.review_links(cr).select("review_id", "link"))
 on_reviews("appearances_no_self", lambda cr: cr.select("review_id", F.size(urls.appearances(F.array("appearance"), link())).cast("long").alias("n_links")))
 
 

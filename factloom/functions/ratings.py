@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from factloom.functions.tables import FRENCH_RATINGS, LABEL_BOILERPLATE, LABEL_SCORES, LABELS
 
 
+#: White space of every script, as text is stripped of it.
+BLANKS = r"[\s\p{Z}\x1c-\x1f\x85]"
+
+
 def label_prefixes() -> dict[str, str]:
     """Lower-case beginnings and their simplified labels. No one begins with another of a different label."""
     return {k.lower(): v for k, v in LABELS.items()}
@@ -17,7 +21,7 @@ def label_prefixes() -> dict[str, str]:
 
 def clean_label(label: Column) -> Column:
     """Lower-case, without blanks around and without boilerplate."""
-    return reduce(lambda c, cut: F.replace(c, F.lit(cut), F.lit("")), LABEL_BOILERPLATE, F.lower(F.regexp_replace(label, r"^\s+|\s+$", "")))
+    return reduce(lambda c, cut: F.replace(c, F.lit(cut), F.lit("")), LABEL_BOILERPLATE, F.lower(F.regexp_replace(label, f"^{BLANKS}+|{BLANKS}+$", "")))
 
 
 def simplified_label(label: Column) -> Column:
@@ -47,14 +51,14 @@ def textual_score(label: Column) -> Column:
 
 def whole_number(value: Column) -> Column:
     """A number from text, as int() takes it: blanks around are allowed, fractions in text are not."""
-    text = value.cast("string")
-    return F.when(text.rlike(r"^\s*[+-]?\d{1,9}\s*$"), F.trim(text).cast("int"))
+    text = F.regexp_replace(value.cast("string"), f"^{BLANKS}+|{BLANKS}+$", "")
+    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("double"))
 
 
 def numeric_score(value: Column, best: Column, worst: Column) -> Column:
     """Place of value between worst and best, held to [0, 1]; null for -1/-1, no range or what is no number."""
     v, b, w = (whole_number(c) for c in (value, best, worst))
-    place = F.try_divide((v - w).cast("double"), (b - w).cast("double"))
+    place = F.try_divide(v - w, b - w)
     return F.when((b == -1) & (w == -1), None).otherwise(F.when(place.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), place))))
 
 

@@ -195,7 +195,21 @@ TOPIC_AFTER = "2021-11-01"
 
 # Suffixes of more than one label under which names are registered. A full public suffix list can be
 # given to registered_domain() instead.
-SUFFIXES = ["co.uk", "org.uk", "ac.uk", "gov.uk", "com.br", "com.au", "org.au", "com.ar", "com.mx", "com.tr", "com.ua", "co.in", "co.jp", "co.kr", "co.nz", "co.za", "org.pl", "com.pl", "org.tw", "com.tw", "qc.ca", "com.co", "com.sg", "com.hk", "com.cn"]
+SUFFIXES = ["qc.ca", "on.ca", "me.uk", "com.de"]
+
+# Second levels that are public suffixes below the two-letter domains of countries.
+SECOND_LEVELS = ["ac", "co", "com", "edu", "gob", "gouv", "gov", "go", "ltd", "mil", "ne", "net", "nom", "or", "org", "plc", "sch"]
+
+# Registered domains whose pages hold microdata, and those whose pages hold no review; all others are read as JSON-LD.
+MICRODATA_DOMAINS = ["politifact.com", "washingtonpost.com"]
+UNMARKED_DOMAINS = """
+newtral.es verafiles.org misbar.com raskrinkavanje.ba efectococuyo.com infact.press factcheck.vlaanderen
+tfc-taiwan.org.tw spondeomedia.com mythdetector.ge newsmobile.in truthmeter.mk vistinomer.mk factcheck.ge maldita.es
+animal.mx lasillavacia.com pesacheck.org factnameh.com medium.com fatabyyano.net crithink.mk
+""".split()
+
+# Domains whose pages may name shared-fact widgets.
+SOCIAL_DOMAINS = ["facebook.com", "twitter.com", "instagram.com", "youtube.com"]
 
 # Corrections of links that reviews give wrongly.
 CORRECTED_URLS = {

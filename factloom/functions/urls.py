@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import string
-from urllib.parse import quote, unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from factloom.functions.tables import ARCHIVES, CORRECTED_URLS, SHORTENERS, SUFFIXES, TRACKING_KEYS
+from factloom.functions.tables import ARCHIVES, CORRECTED_URLS, SECOND_LEVELS, SHORTENERS, SUFFIXES, TRACKING_KEYS
 
+#: Characters that an escaped path or fragment keeps: printable ASCII without blank, % and #.
 SAFE = "".join(c for c in string.digits + string.ascii_letters + string.punctuation if c not in "%#")
 PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
@@ -42,15 +40,33 @@ def clean_path(p: Column) -> Column:
     return F.concat(F.lit("/"), F.array_join(folded, "/"))
 
 
+def form_decoded(value: Column) -> Column:
+    """A part of a query, decoded; what can't be decoded stays but for its plus signs."""
+    return F.when(value.rlike("[%+]"), F.coalesce(F.try_url_decode(value), F.translate(value, "+", " "))).otherwise(value)
+
+
+def form_encoded(value: Column) -> Column:
+    """A part of a query as forms send it: letters, digits and _.-~ stay, a blank becomes a plus sign."""
+    coded = F.replace(F.replace(F.url_encode(value), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    return F.when(value.rlike(r"[^A-Za-z0-9_.\-]"), coded).otherwise(value)
+
+
 def clean_query(query: Column) -> Column:
-    """Pairs sorted by key, of equal keys the last, without those that track visitors."""
-    pairs = F.filter(F.split(query, "&"), lambda x: x != "")
-    key = lambda x: F.substring_index(x, "=", 1)
-    keys = F.array_distinct(F.transform(pairs, key))
-    kept = F.filter(keys, lambda k: ~k.isin(*TRACKING_KEYS))
-    last = lambda k: F.element_at(F.filter(pairs, lambda x: key(x) == k), -1)
-    value = lambda x: F.when(F.contains(x, F.lit("=")), F.regexp_replace(x, r"^[^=]*=", "")).otherwise("")
-    return F.array_join(F.transform(F.array_sort(kept), lambda k: F.concat(k, F.lit("="), value(last(k)))), "&")
+    """Decoded pairs sorted by key, of equal keys the last, without those that track visitors, encoded again."""
+
+    def pair(x: Column) -> Column:
+        key = F.substring_index(x, "=", 1)
+        value = F.when(F.contains(x, F.lit("=")), F.regexp_replace(x, r"^[^=]*=", "")).otherwise("")
+        return F.struct(form_decoded(key).alias("key"), form_decoded(value).alias("value"))
+
+    def joined(pairs: Column) -> Column:
+        keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
+        kept = F.array_sort(F.filter(keys, lambda k: ~k.isin(*TRACKING_KEYS)))
+        last = lambda k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"]
+        return F.array_join(F.transform(kept, lambda k: F.concat(form_encoded(k), F.lit("="), form_encoded(last(k)))), "&")
+
+    pairs = F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), pair)
+    return F.when(query == "", "").otherwise(bind(pairs, joined))
 
 
 def bind(value: Column, body) -> Column:
@@ -75,40 +91,48 @@ def canonical(url: Column) -> Column:
         )
 
     def whole(p: Column) -> Column:
-        port = F.when((p["port"] == "") | p["port"].isin("80", "443"), "").otherwise(F.concat(F.lit(":"), p["port"]))
+        number = p["port"].try_cast("int")
+        usual = F.when(p["scheme"] == "http", 80).otherwise(443)
+        port = F.when((number > 0) & (number < 65536) & (number != usual), F.concat(F.lit(":"), number.cast("string"))).otherwise("")
         tail = F.when((p["query"] != "") | (p["fragment"] != ""), F.concat(F.lit("?"), p["query"])).otherwise("")
-        mark = F.when(p["fragment"] != "", F.concat(F.lit("#"), p["fragment"])).otherwise("")
-        text = F.concat(p["scheme"], F.lit("://"), p["user"], p["name"], port, p["path"], tail, mark)
+        mark = F.when(p["fragment"] != "", F.concat(F.lit("#"), escaped(p["fragment"]))).otherwise("")
+        text = F.concat(p["scheme"], F.lit("://"), escaped(F.concat(p["user"], p["name"], port, p["path"])), tail, mark)
         sound = p["scheme"].isin("http", "https") & p["name"].rlike(r"^[a-zA-Z_\d-]{1,63}(\.[a-zA-Z\d-]{1,63})*$")
         return F.when(sound, F.regexp_replace(text, r"[?#/ ]+$", ""))
 
     return bind(bind(with_protocol(F.trim(F.translate(url, "\t\r\n", ""))), of), whole)
 
 
-def _escape(value: str) -> str:
-    plain = unquote(value)
-    while plain != value:
-        value, plain = plain, unquote(plain)
-    return quote(plain, SAFE)
+def escaped(text: Column, rounds: int = 8) -> Column:
+    """Percent-escapes in one normal form: decoded as often as that changes anything, then all but SAFE encoded."""
 
+    def once(value: Column) -> Column:
+        return F.when(F.contains(value, F.lit("%")), F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value)).otherwise(value)
 
-@F.pandas_udf(StringType())
-def _escaped(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: v if v is None else _escape(v))
+    def coded(plain: Column) -> Column:
+        parts = F.transform(F.split(plain, ""), lambda c: F.when(c.rlike("[\x21-\x7e&&[^%#]]"), c).otherwise(F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))))
+        return F.array_join(parts, "")
 
-
-def escaped(url: Column) -> Column:
-    """Percent-escapes in one normal form. Only links with a % or a character beyond ASCII reach Python."""
-    return F.when(url.rlike(r"%|[^\x21-\x7e]"), _escaped(url)).otherwise(url)
+    plain = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), text, lambda value, _: once(value))
+    return F.when(text.rlike("%|[^\x21-\x7e]"), bind(plain, coded)).otherwise(text)
 
 
 def registered_domain(url: Column, suffixes: list[str] | None = None) -> Column:
-    """Host down to the label under its public suffix. suffixes: those of several labels; all others have one."""
-    suffixes = SUFFIXES if suffixes is None else suffixes
-    name = host(url)
-    several = "|".join(s.replace(".", r"\.") for s in suffixes)
-    long = F.regexp_extract(name, rf"([^.]+\.(?:{several}))$", 1) if suffixes else F.lit("")
-    return F.when(url.isNull() | (url == ""), "").when(long != "", long).otherwise(F.substring_index(name, ".", -2))
+    """Host down to the label under its public suffix; "" without one.
+
+    Public suffixes are the last label, and two labels where a country's domain has the usual second levels (a rule), or
+    where they are listed (SUFFIXES, or `suffixes`, for instance those of a public suffix file).
+    """
+    listed = "|".join(s.replace(".", r"\.") for s in (SUFFIXES if suffixes is None else suffixes))
+    several = rf"(?:(?:{'|'.join(SECOND_LEVELS)})\.[a-z][a-z]" + (f"|{listed}" if listed else "") + ")"
+
+    def of(name: Column) -> Column:
+        long = F.regexp_extract(name, rf"([^.]+\.{several})$", 1)
+        short = F.regexp_extract(name, r"([^.]+\.[^.]+)$", 1)
+        bare = name.rlike(rf"^{several}$") | name.rlike(r"^[\d.]+$")
+        return F.when(long != "", long).when(bare, "").otherwise(short)
+
+    return F.when(url.isNull() | (url == ""), "").otherwise(bind(host(url), of))
 
 
 def is_shortener(url: Column) -> Column:
@@ -125,6 +149,25 @@ def unwrapped(url: Column) -> Column:
     return F.when(inner == "", url).otherwise(F.regexp_replace(inner, "^(https?):/+", "$1://"))
 
 
+def form_target(html: Column) -> Column:
+    """The link that a snapshot page of the archive.today family names in its search form."""
+    return F.nullif(F.regexp_extract(html, r'(?is)<form[^>]*id="search"[^>]*>.*?<input[^>]*name="q"[^>]*value="([^"]*)"', 1), F.lit(""))
+
+
+def resolved_links(rows: DataFrame, redirects: DataFrame, pages: DataFrame, column: str = "url") -> DataFrame:
+    """rows with each link in its canonical form, or where a known redirect leads; else snapshots give way to what they
+    are of, by their address (archive.org) or by the saved page (url, html; the archive.today family); others stay.
+
+    Keys of redirects count up to their first thousand characters.
+    """
+    known = redirects.select(F.substring("url", 1, 1000).alias("_from"), F.col("to").alias("_to")).dropDuplicates(["_from"])
+    saved = pages.where(is_archive(F.col("url"))).select(canonical(F.col("url")).alias("_page"), form_target(F.col("html")).alias("_target")).where("_target IS NOT NULL").dropDuplicates(["_page"])
+    out = rows.withColumn("_own", canonical(F.col(column)))
+    out = out.join(known, out["_own"] == known["_from"], "left").join(saved, out["_own"] == saved["_page"], "left")
+    inner = canonical(unwrapped(F.col("_own")))
+    return out.withColumn(column, F.coalesce("_to", "_target", inner, "_own")).drop("_own", "_from", "_to", "_page", "_target")
+
+
 def corrected(url: Column) -> Column:
     out = url
     for wrong, right in CORRECTED_URLS.items():
@@ -156,6 +199,10 @@ def split_appearances(field: Column) -> Column:
 
 
 def appearances(field: Column, own_url: Column) -> Column:
-    """Distinct canonical links in sorted order, without those of the fact-checker's own domain."""
-    links = F.filter(split_appearances(field), lambda x: host(x) != host(own_url))
-    return F.array_sort(F.array_distinct(F.filter(F.transform(links, canonical), lambda x: x.isNotNull())))
+    """Distinct canonical links in sorted order, without those of the fact-checker's own registered domain."""
+
+    def foreign(own: Column) -> Column:
+        links = F.filter(split_appearances(field), lambda x: registered_domain(x) != own)
+        return F.array_sort(F.array_distinct(F.filter(F.transform(links, canonical), lambda x: x.isNotNull())))
+
+    return bind(registered_domain(own_url), foreign)

@@ -4,73 +4,61 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def levenshtein(a: str, b: str) -> int:
-    if len(a) < len(b):
-        a, b = b, a
-    left = np.arange(len(b) + 1)
-    codes = np.array([ord(c) for c in b])
-    for i, c in enumerate(a, 1):
-        step = np.minimum(left[1:] + 1, left[:-1] + (codes != ord(c)))
-        row = np.concatenate(([i], step)) - np.arange(len(b) + 1)
-        left = np.minimum.accumulate(row) + np.arange(len(b) + 1)
-    return int(left[-1])
+def ward(distance: np.ndarray, cut: float, sizes: list[int] | None = None) -> list[list[int]]:
+    """Clusters after all merges of height up to cut, from a square matrix of distances (Lance and Williams, 1967).
 
-
-def ward(distance: np.ndarray, cut: float) -> list[list[int]]:
-    """Clusters after all merges of height up to cut, from a square matrix of distances (Lance and Williams, 1967)."""
-    d = distance.astype(float) ** 2
+    sizes: how many equal points each row stands for.
+    """
+    n = np.ones(len(distance)) if sizes is None else np.asarray(sizes, float)
+    d = distance.astype(float) ** 2 * (2 * np.outer(n, n) / np.add.outer(n, n))
     np.fill_diagonal(d, np.inf)
     groups = {i: [i] for i in range(len(d))}
     while len(groups) > 1:
         i, j = sorted(np.unravel_index(np.argmin(d), d.shape))
         if not d[i, j] <= cut**2:
             break
-        ni, nj = len(groups[i]), len(groups[j])
-        n = np.array([len(groups.get(k, ())) for k in range(len(d))])
-        joined = ((ni + n) * d[i] + (nj + n) * d[j] - n * d[i, j]) / np.maximum(1, ni + nj + n)
+        joined = ((n[i] + n) * d[i] + (n[j] + n) * d[j] - n * d[i, j]) / (n[i] + n[j] + n)
         d[i], d[:, i] = joined, joined
         d[j], d[:, j] = np.inf, np.inf
         d[i, i] = np.inf
+        n[i] += n[j]
         groups[i] += groups.pop(j)
     return [sorted(g) for g in groups.values()]
 
 
-def cluster_texts(texts: list[str], cut: float = 5.0) -> list[list[int]]:
-    """Ward clusters of texts; equal texts are compared once and stand for all their copies."""
-    distinct = sorted(set(texts))
-    d = np.array([[levenshtein(a, b) for b in distinct] for a in distinct])
-    weights = [i for i, t in enumerate(distinct) for _ in range(texts.count(t))]
-    order = [i for t in distinct for i, x in enumerate(texts) if x == t]
-    full = d[np.ix_(weights, weights)]
-    return [sorted(order[i] for i in group) for group in ward(full, cut)]
-
-
 def claim_clusters(reviews: DataFrame, cut: float = 5.0) -> DataFrame:
-    """url, review_id, cluster (its smallest review_id). Links with one review never reach Python."""
-
-    def of_page(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("review_id").reset_index(drop=True)
-        pdf["cluster"] = pdf["review_id"]
-        for group in cluster_texts(pdf["claim"].tolist(), cut):
-            pdf.loc[group, "cluster"] = pdf.loc[group, "review_id"].min()
-        return pdf[["url", "review_id", "cluster"]]
+    """url, review_id, cluster (its smallest review_id): Ward clusters of a page's claims over their edit distances.
 
+    Equal texts are one point with a weight. Texts that aren't connected by distances up to the cut never come into one
+    cluster, since no merge up to the cut makes a distance to a third point less than both were, if these exceed it. So
+    pages whose texts are all further apart are done in the JVM, by distances that stop counting at the cut; full distances
+    are taken, and go to Python, only for the others. A page's distinct texts are paired, as Ward's linkage needs.
+    """
     rows = reviews.select("url", "review_id", F.trim(F.coalesce("claim_reviewed", F.lit(""))).alias("claim"))
-    counts = rows.groupBy("url").agg(F.count("*").alias("n"), F.count_distinct("claim").alias("texts"))
-    rows = rows.join(counts, "url")
-    alone = rows.where("texts = 1").withColumn("cluster", F.min("review_id").over(_by_url())).select("url", "review_id", "cluster")
-    several = rows.where("texts > 1").select("url", "review_id", "claim").groupBy("url").applyInPandas(of_page, "url string, review_id long, cluster long")
-    return alone.unionByName(several)
-
+    texts = rows.groupBy("url", "claim").agg(F.min("review_id").alias("id"), F.count("*").alias("n"))
+    a = texts.select("url", *[F.col(c).alias(f"{c}_a") for c in ("claim", "id", "n")])
+    b = texts.select("url", *[F.col(c).alias(f"{c}_b") for c in ("claim", "id", "n")])
+    near = (F.abs(F.length("claim_a") - F.length("claim_b")) <= cut) & (F.levenshtein("claim_a", "claim_b", int(cut)) >= 0)
+    both = a.join(b, "url").where("id_a < id_b").withColumn("any_near", F.max(near).over(Window.partitionBy("url"))).where("any_near")
+    distances = both.select("url", "id_a", "n_a", "id_b", "n_b", F.levenshtein("claim_a", "claim_b").alias("d"))
 
-def _by_url():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("url")
+    def of_page(pdf: pd.DataFrame) -> pd.DataFrame:
+        sizes = dict(zip(pdf["id_a"], pdf["n_a"], strict=True)) | dict(zip(pdf["id_b"], pdf["n_b"], strict=True))
+        ids = sorted(sizes)
+        at = {x: i for i, x in enumerate(ids)}
+        i, j = pdf["id_a"].map(at).to_numpy(), pdf["id_b"].map(at).to_numpy()
+        d = np.zeros((len(ids), len(ids)))
+        d[i, j] = d[j, i] = pdf["d"].to_numpy()
+        found = [(pdf["url"].iloc[0], ids[k], ids[min(g)]) for g in ward(d, cut, [sizes[x] for x in ids]) for k in g]
+        return pd.DataFrame(found, columns=["url", "id", "cluster"])
+
+    joined = distances.groupBy("url").applyInPandas(of_page, "url string, id long, cluster long")
+    known = texts.select("url", "claim", "id").join(joined, ["url", "id"], "left").select("url", "claim", F.coalesce("cluster", "id").alias("cluster"))
+    return rows.join(known, ["url", "claim"]).select("url", "review_id", "cluster")
 
 
 def embedding_pairs(rows: DataFrame, limit: float) -> DataFrame:

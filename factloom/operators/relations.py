@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from factloom.functions.ratings import clean_label, label_prefixes
-from factloom.functions.urls import host
+from factloom.functions.urls import registered_domain
 
 
 def with_registry(reviews: DataFrame, registry: DataFrame, how: str = "inner") -> DataFrame:
     """reviews ⋈ registry by domain; how: inner, left_semi or left_anti. Spark broadcasts the registry if it is small."""
-    return reviews.withColumn("domain", host(F.col("url"))).join(registry, "domain", how)
+    return reviews.withColumn("domain", registered_domain(F.col("url"))).join(registry, "domain", how)
 
 
 def recollection(before: DataFrame, after: DataFrame, registry: DataFrame) -> DataFrame:
     """domain, before, after, ratio of registered domains with any row before."""
-    count = lambda rows, name: rows.withColumn("domain", host(F.col("url"))).groupBy("domain").agg(F.count("*").alias(name))
+    count = lambda rows, name: rows.withColumn("domain", registered_domain(F.col("url"))).groupBy("domain").agg(F.count("*").alias(name))
     out = registry.select("domain").join(count(before, "before"), "domain").join(count(after, "after"), "domain", "left").fillna(0, ["after"])
     return out.withColumn("ratio", F.try_divide(F.col("after").cast("double"), F.col("before")))
 
@@ -31,7 +35,7 @@ def prefix_labels(spark, reviews: DataFrame) -> DataFrame:
 
 
 def country_distribution(reviews: DataFrame, registry: DataFrame) -> DataFrame:
-    rows = reviews.withColumn("domain", host(F.col("url"))).groupBy("domain").agg(F.count_distinct("url").alias("n"))
+    rows = reviews.withColumn("domain", registered_domain(F.col("url"))).groupBy("domain").agg(F.count_distinct("url").alias("n"))
     return registry.join(rows, "domain", "left").groupBy("country").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n_urls"))
 
 
@@ -60,12 +64,26 @@ def agreeing(rows: DataFrame, key: str) -> DataFrame:
     return out.where("n = 1").drop("n")
 
 
+def leaf_paths(value, path: str = "") -> list[str]:
+    """Dotted paths of all leaves, without array positions; keys that begin with ifcn_info are passed over."""
+    if isinstance(value, dict) and value:
+        return [p for k, v in value.items() if not k.startswith("ifcn_info") for p in leaf_paths(v, f"{path}.{k}" if path else k)]
+    if isinstance(value, list) and value:
+        return [p for v in value for p in leaf_paths(v, path)]
+    return [path] if path else []
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _leaf_paths(rows: pd.Series) -> pd.Series:
+    def of(text: str | None) -> list[str]:
+        try:
+            return leaf_paths(json.loads(text)) if text else []
+        except ValueError:
+            return []
+
+    return rows.map(of)
+
+
 def json_path_counts(rows: DataFrame, column: str) -> DataFrame:
-    """path, n of all dotted key paths in JSON objects, without array positions; three levels deep."""
-    level = rows.select(F.lit("").alias("path"), F.try_parse_json(column).alias("v"))
-    out = None
-    for _ in range(3):
-        level = level.selectExpr("path", "explode(CASE WHEN schema_of_variant(v) LIKE 'OBJECT%' THEN map_entries(from_json(to_json(v), 'map<string,string>')) END) AS e")
-        level = level.select(F.concat("path", F.lit("."), "e.key").alias("path"), F.try_parse_json("e.value").alias("v"))
-        out = level.select("path") if out is None else out.union(level.select("path"))
-    return out.select(F.expr("substr(path, 2)").alias("path")).groupBy("path").agg(F.count("*").alias("n"))
+    """path, n of the leaves of JSON documents of any depth; what can't be parsed counts for nothing."""
+    return rows.select(F.explode(_leaf_paths(column)).alias("path")).groupBy("path").agg(F.count("*").alias("n"))

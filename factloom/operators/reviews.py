@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.ratings import credibility_label
-from factloom.functions.urls import appearances, host
+from factloom.functions.urls import appearances, registered_domain
 from factloom.operators.clustering import claim_clusters
 
 #: "First" among reviews: by date, those without one last, then by number.
@@ -15,32 +15,44 @@ FIRST = ("date_published", "review_id")
 
 def labelled(reviews: DataFrame) -> DataFrame:
     """reviews with label and domain."""
-    return reviews.withColumn("label", credibility_label(F.col("alternate_name"), F.col("value"), F.col("best"), F.col("worst"))).withColumn("domain", host(F.col("url")))
+    return reviews.withColumn("label", credibility_label(F.col("alternate_name"), F.col("value"), F.col("best"), F.col("worst"))).withColumn("domain", registered_domain(F.col("url")))
 
 
-def links_of(reviews: DataFrame) -> DataFrame:
-    """One row for each review and link: the labelled review's columns and `link`."""
+def review_links(reviews: DataFrame) -> DataFrame:
+    """One row for each single review and link: the labelled review's columns and `link`."""
     links = appearances(F.array("appearance"), F.col("url"))
     return labelled(reviews).withColumn("link", F.explode(links))
 
 
+def links_of(reviews: DataFrame) -> DataFrame:
+    """One row for each merged record and link: link, url, cluster, domain, label (of the record) and, of the record's
+    first review, review_id, claim_reviewed, alternate_name, date_published."""
+    first = F.get("reviews", 0)
+    out = merged(reviews).withColumn("link", F.explode("appearances"))
+    return out.select("link", "url", "cluster", "domain", "label", *[first[c].alias(c) for c in ("review_id", "claim_reviewed", "alternate_name", "date_published", "retrieved_by")])
+
+
 def verdict(label: Column) -> Column:
     """The one label of a group, or check_me if there are several."""
     return F.when(F.count_distinct(label) > 1, "check_me").otherwise(F.min(label))
 
 
 def merged(reviews: DataFrame) -> DataFrame:
-    """One record for each page and cluster of claims: texts, label, links and the reviews in order."""
+    """One record for each page and cluster of claims: texts, label, links and the reviews in order.
+
+    A record is as large as its cluster of reviews of one page, as its sink wants it.
+    """
     rows = labelled(reviews).join(claim_clusters(reviews).select("review_id", "cluster"), "review_id")
     links = appearances(F.array("appearance"), F.col("url"))
-    review = F.struct(F.coalesce(F.col("date_published").cast("string"), F.lit("9999")).alias("sort"), "review_id", "label", "alternate_name", "retrieved_by", "date_published")
+    review = F.struct(F.coalesce(F.col("date_published").cast("string"), F.lit("9999")).alias("sort"), "review_id", "label", "alternate_name", "retrieved_by", "date_published", F.trim("claim_reviewed").alias("claim_reviewed"))
     out = rows.groupBy("url", "cluster").agg(
+        F.first("domain").alias("domain"),  # the page's
         F.array_sort(F.collect_set(F.trim("claim_reviewed"))).alias("claim_text"),
         verdict(F.col("label")).alias("label"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(links)))).alias("appearances"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(links)))).alias("appearances"),
         F.array_sort(F.collect_list(review)).alias("reviews"),
     )
-    return out.withColumn("domain", host(F.col("url")))
+    return out
 
 
 def different_texts(reviews: DataFrame) -> DataFrame:
@@ -64,7 +76,7 @@ def link_table(reviews: DataFrame, only: str | None = None) -> DataFrame:
     rows = rows.where(F.col("label") == only) if only else rows
     review = F.struct(F.coalesce(F.col("date_published").cast("string"), F.lit("9999")).alias("sort"), "review_id", "label", F.col("url").alias("review_url"), "claim_reviewed", "domain", "alternate_name", "date_published")
     out = rows.groupBy(F.col("link").alias("misinforming_url")).agg(F.array_sort(F.collect_list(review)).alias("reviews"))
-    return out.withColumn("misinforming_domain", host(F.col("misinforming_url")))
+    return out.withColumn("misinforming_domain", registered_domain(F.col("misinforming_url")))
 
 
 def multi_reviewed(reviews: DataFrame) -> DataFrame:
@@ -104,15 +116,24 @@ def label_mapping(reviews: DataFrame) -> DataFrame:
 
 
 def job_stats(reviews: DataFrame, registry: DataFrame) -> DataFrame:
-    """One row of counters over the reviews, their links and their clusters."""
+    """One row of the job's counters. Reviews of registered fact-checkers are those collected again, and are merged;
+    they count twice among the raw ones, as they are listed again."""
     rows = labelled(reviews).join(registry.select("domain", F.lit(1).alias("member")), "domain", "left")
+    is_known = F.col("member").isNotNull()
     base = rows.agg(
-        F.count("*").alias("raw_reviews"),
-        F.count_distinct("url").alias("review_urls"),
-        F.count_distinct(F.when(F.col("member").isNull(), F.col("url"))).alias("urls_not_registered"),
-        F.count_distinct(F.when(F.col("member").isNull(), F.col("domain"))).alias("domains_not_registered"),
+        (F.count("*") + F.count_if(is_known)).alias("raw_reviews"),
+        F.count_if(is_known).alias("recollected_reviews"),
+        F.count_distinct(F.when(~is_known, F.col("url"))).alias("urls_not_registered"),
+        F.count_distinct(F.when(~is_known, F.col("domain"))).alias("domains_not_registered"),
+        F.count_distinct(F.when(is_known, F.col("url"))).alias("review_urls"),
+    )
+    known = rows.where(is_known).drop("member", "domain", "label")
+    records = merged(known).select("url", "cluster", "label", F.explode_outer("appearances").alias("link"))
+    record = F.struct("url", "cluster")
+    made = records.agg(
+        F.count_distinct(record).alias("merged_reviews"),
+        F.count_distinct("link").alias("unique_appearances"),
+        F.count_distinct(F.when(F.col("label") == "check_me", record)).alias("not_matching_labels"),
+        F.count_distinct(F.when(F.col("label") == "not_credible", F.col("link"))).alias("links_not_credible"),
     )
-    links = link_conflicts(reviews).agg(F.count("*").alias("links"), F.count_if(F.col("n_labels") > 1).alias("links_disagreeing"), F.count_if(F.col("n_reviews") > 1).alias("links_multi"))
-    bad = links_of(reviews).where("label = 'not_credible'").agg(F.count_distinct("link").alias("links_not_credible"))
-    one = F.lit(1).alias("one")  # frames of one row each, joined on a constant
-    return base.select("*", one).join(links.select("*", one), "one").join(bad.select("*", one), "one").drop("one")
+    return base.crossJoin(made).crossJoin(registry.agg(F.count_distinct("domain").alias("registered_domains")))  # one row each

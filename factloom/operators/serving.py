@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.tables import ACCOUNT_DOMAINS, HOMEPAGE_PATHS, LEFT_OUT_DOMAINS, NEVER_SAMPLED, TOPIC_AFTER, TOPIC_WORDS
-from factloom.functions.urls import host, path
+from factloom.functions.urls import path, registered_domain
 
 
 def satisfies(since: str | None = None, until: str | None = None, misinforming_domain: str | None = None, exclude: Sequence[str] = LEFT_OUT_DOMAINS, fact_checker_domain: str | None = None, no_homepages: bool = True) -> Column:
@@ -36,22 +36,35 @@ def satisfies(since: str | None = None, until: str | None = None, misinforming_d
 def cursor_sample(links: DataFrame, keep: Column, seed: str, cursor: int) -> DataFrame:
     """The first link that passes from the cursor on, in a shuffled circle, and the next cursor.
 
-    The circle is the order of md5(seed + link). Only links that pass are ranked against the cursor's place; a
-    link's place is the number of links before it, counted for the two that are returned and not for all.
+    The circle is the order of md5(seed + link). The cursor's place is found by counts of the links by the first hex
+    digits of their rank, and only links of one such slice are sorted for it; of the links that pass, the first two from
+    there on are the least of two aggregations. Their ranks are kept for these jobs, none of which sorts them all.
     """
     rank = F.md5(F.concat(F.lit(seed), F.col("misinforming_url")))
-    keyed = links.select("misinforming_url", "misinforming_domain", rank.alias("rank"), keep.alias("ok"))
-    n = keyed.count()
+    keyed = links.select("misinforming_url", "misinforming_domain", rank.alias("rank"), keep.alias("ok")).persist()
+    kind = "misinforming_url string, misinforming_domain string, position long, next_cursor long"
+    spark = links.sparkSession
+    slices = {r["slice"]: r["n"] for r in keyed.groupBy(F.substring("rank", 1, 3).alias("slice")).agg(F.count("*").alias("n")).collect()}  # 4096 at most
+    n = sum(slices.values())
     if not n:
-        return keyed.select("misinforming_url", "misinforming_domain", F.lit(0).cast("long").alias("position"), F.lit(0).cast("long").alias("next_cursor"))
+        keyed.unpersist()
+        return spark.createDataFrame([], kind)
     cursor %= n
-    start = keyed.select("rank").orderBy("rank").limit(cursor + 1).agg(F.max("rank")).first()[0]
+    before = 0
+    for slice_ in sorted(slices):
+        if before + slices[slice_] > cursor:
+            break
+        before += slices[slice_]
+    start = keyed.where(F.substring("rank", 1, 3) == slice_).select("rank").orderBy("rank").limit(cursor - before + 1).agg(F.max("rank")).first()[0]
     behind = F.when(F.col("rank") < start, 1).otherwise(0)
     two = keyed.where("ok").orderBy(behind, "rank", "misinforming_url").limit(2).collect()
-    places = [keyed.where(F.col("rank") < r["rank"]).count() for r in two]
-    spark = links.sparkSession
+    places = []
+    for r in two:
+        ahead = sum(v for k, v in slices.items() if k < r["rank"][:3])
+        places.append(ahead + keyed.where((F.substring("rank", 1, 3) == r["rank"][:3]) & (F.col("rank") < r["rank"])).count())
+    keyed.unpersist()
     rows = [(r["misinforming_url"], r["misinforming_domain"], p, places[1] if len(two) > 1 else (cursor - 1) % n) for r, p in list(zip(two, places, strict=True))[:1]]
-    return spark.createDataFrame(rows, "misinforming_url string, misinforming_domain string, position long, next_cursor long")
+    return spark.createDataFrame(rows, kind)
 
 
 def latest(reviews: DataFrame, as_of: str, n: int = 100) -> DataFrame:
@@ -81,7 +94,7 @@ def topic_extract(links: DataFrame, words: Sequence[str] = TOPIC_WORDS, after: s
 
 def first_per_checker(reviews: DataFrame, n: int = 100) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("date_published"), "url", "review_id"))
-    return reviews.withColumn("domain", host(F.col("url"))).withColumn("place", place).where(F.col("place") <= n)
+    return reviews.withColumn("domain", registered_domain(F.col("url"))).withColumn("place", place).where(F.col("place") <= n)
 
 
 def snapshots(index: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factloom.functions.tables import LABEL_BOILERPLATE, LABEL_SCORES, LABELS, TRACKING_KEYS
+from factloom.functions.tables import LABEL_BOILERPLATE, LABEL_SCORES, LABELS, SECOND_LEVELS, SUFFIXES, TRACKING_KEYS
 
 P = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
@@ -19,9 +19,18 @@ def host(u: str) -> str:
     return rf"regexp_replace(lower(regexp_replace(regexp_replace({part(u, 2)}, '^.*@', ''), ':[0-9]*$', '')), '^www\.', '')"
 
 
+def domain(u: str) -> str:
+    listed = "|".join(x.replace(".", r"\.") for x in SUFFIXES)
+    several = rf"(?:(?:{'|'.join(SECOND_LEVELS)})\.[a-z][a-z]|{listed})"
+    name = host(u)
+    return rf"coalesce(nullif(regexp_extract({name}, '([^.]+\.{several})$', 1), ''), regexp_extract({name}, '([^.]+\.[^.]+)$', 1))"
+
+
 def query(u: str) -> str:
     drop = ", ".join(map(q, TRACKING_KEYS))
-    return f"array_to_string(list_sort(list_filter(string_split({part(u, 4)}, '&'), lambda x: x <> '' AND split_part(x, '=', 1) NOT IN ({drop}))), '&')"
+    code = lambda x: f"replace(url_encode(url_decode(replace({x}, '+', ' '))), '%20', '+')"
+    kept = f"list_sort(list_filter(string_split({part(u, 4)}, '&'), lambda x: x <> '' AND split_part(x, '=', 1) NOT IN ({drop})))"
+    return f"array_to_string(list_transform({kept}, lambda x: {code("split_part(x, '=', 1)")} || '=' || {code("regexp_replace(x, '^[^=]*=?', '')")}), '&')"
 
 
 def canonical(u: str) -> str:
@@ -42,10 +51,13 @@ def _case(pairs, of: str, end: str = "NULL") -> str:
 
 
 CR = r"""
+pg AS (
+    SELECT page_id, html, CASE WHEN page_id % 11 = 0 THEN regexp_replace(url, '\.example\.(com|net|org)', '.site' || CAST(page_id % 7 AS VARCHAR) || '.gov.br')
+                               ELSE replace(url, '.example.', '.site' || CAST(page_id % 7 AS VARCHAR) || '.') END AS url FROM pages),
 np AS (SELECT count(*) AS n FROM pages),
 cr AS (
     SELECT d.doc_id AS review_id, p.url, CAST(floor(d.doc_id / n) AS BIGINT) AS k,
-           substr(b.text, 1, 60) || CASE CAST(floor(d.doc_id / n) AS BIGINT) WHEN 0 THEN '' WHEN 1 THEN '!' WHEN 2 THEN ' but something entirely different' ELSE '?!' END AS claim_reviewed,
+           regexp_extract(b.text, '^([^.\n]*)', 1) || CASE CAST(floor(d.doc_id / n) AS BIGINT) WHEN 0 THEN '' WHEN 1 THEN '!' WHEN 2 THEN ' but something entirely different' ELSE '?!' END AS claim_reviewed,
            CASE d.doc_id % 12 WHEN 0 THEN 'False' WHEN 1 THEN ' TRUE ' WHEN 2 THEN 'mostly true, but outdated' WHEN 3 THEN 'Fact Crescendo Rating: False'
                 WHEN 4 THEN 'not_verifiable' WHEN 5 THEN '' WHEN 6 THEN NULL WHEN 7 THEN 'no idea' WHEN 8 THEN 'Half True' WHEN 9 THEN 'This is correct - almost'
                 WHEN 10 THEN 'Unsubstantiated' ELSE 'Credible statement' END AS alternate_name,
@@ -54,8 +66,8 @@ cr AS (
            CASE WHEN d.doc_id % 17 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(d.doc_id % 30 AS INT) END AS date_published,
            d.source AS retrieved_by
     FROM documents d CROSS JOIN np
-    JOIN pages p ON p.page_id = d.doc_id % n JOIN documents b ON b.doc_id = d.doc_id % n
-    JOIN pages a1 ON a1.page_id = (d.doc_id * 7 + 1) % n JOIN pages a2 ON a2.page_id = (d.doc_id * 13 + 5) % n)"""
+    JOIN pg p ON p.page_id = d.doc_id % n JOIN documents b ON b.doc_id = d.doc_id % n
+    JOIN pg a1 ON a1.page_id = (d.doc_id * 7 + 1) % n JOIN pg a2 ON a2.page_id = (d.doc_id * 13 + 5) % n)"""
 SCORED = f"""{CR},
 simple AS (SELECT *, {_case([(k.lower(), v) for k, v in LABELS.items()], _label())} AS simplified FROM cr),
 scored AS (
@@ -63,21 +75,29 @@ scored AS (
            CASE WHEN best = -1 AND worst = -1 THEN NULL ELSE greatest(0e0, least(1e0, CAST(value - worst AS DOUBLE) / (best - worst))) END AS number_score
     FROM simple),
 lab AS (
-    SELECT *, {host("url")} AS domain,
+    SELECT *, {domain("url")} AS domain,
            CASE WHEN coalesce(text_score, number_score) IS NULL THEN 'not_verifiable' WHEN coalesce(text_score, number_score) > 0.8e0 THEN 'credible'
                 WHEN coalesce(text_score, number_score) > 0.6e0 THEN 'mostly_credible' WHEN coalesce(text_score, number_score) > 0.4e0 THEN 'uncertain' ELSE 'not_credible' END AS label
     FROM scored)"""
 SPLIT = """CASE WHEN contains(appearance, ',') THEN list_concat(string_split(appearance, ','), string_split(appearance, ' ')) ELSE [appearance] END"""
-LINKS = f"""{SCORED},
+RAW_LINKS = f"""{SCORED},
 raw AS (SELECT *, trim(unnest({SPLIT})) AS part FROM lab),
-links AS (
-    SELECT DISTINCT review_id, url, k, claim_reviewed, alternate_name, date_published, retrieved_by, domain, label, {canonical("part")} AS link
-    FROM raw WHERE regexp_matches(part, '^https?://') AND {host("part")} <> domain)"""
+raw_links AS (SELECT DISTINCT review_id, {canonical("part")} AS link FROM raw WHERE regexp_matches(part, '^https?://') AND {domain("part")} <> domain)"""
 REG = f"""reg AS (
-    SELECT {host("url")} AS domain, min(n_name) AS country FROM pages JOIN nation ON n_nationkey = page_id % 25 WHERE page_id % 5 <> 0 GROUP BY 1)"""
-CLUSTERS = f"""{LINKS},
-clusters AS (
-    SELECT a.url, a.review_id, min(b.review_id) AS cluster FROM cr a JOIN cr b ON a.url = b.url AND (a.k = 2) = (b.k = 2) GROUP BY a.url, a.review_id)"""
+    SELECT {domain("url")} AS domain, min(n_name) AS country FROM pg JOIN nation ON n_nationkey = page_id % 25 WHERE page_id % 7 < 4 GROUP BY 1)"""
+#: Claims of a page within five edits are one cluster: chains of such claims are short enough for Ward's heights here.
+CLUSTERS = f"""{RAW_LINKS},
+texts AS (SELECT url, trim(claim_reviewed) AS t, min(review_id) AS id FROM cr GROUP BY 1, 2),
+near AS (SELECT a.url, a.t, min(b.id) AS cluster FROM texts a JOIN texts b ON a.url = b.url AND abs(length(a.t) - length(b.t)) <= 5 AND levenshtein(a.t, b.t) <= 5 GROUP BY a.url, a.t),
+clusters AS (SELECT cr.url, cr.review_id, cluster FROM cr JOIN near ON near.url = cr.url AND near.t = trim(claim_reviewed))"""
+#: One row for each merged record and link, with the record's label and its first review.
+LINKS = f"""{CLUSTERS},
+placed AS (SELECT lab.*, cluster, row_number() OVER (PARTITION BY lab.url, cluster ORDER BY coalesce(CAST(date_published AS VARCHAR), '9999'), lab.review_id) AS place FROM lab JOIN clusters ON clusters.review_id = lab.review_id),
+verdicts AS (SELECT url, cluster, CASE WHEN count(DISTINCT label) > 1 THEN 'check_me' ELSE min(label) END AS final FROM placed GROUP BY url, cluster),
+firsts AS (SELECT placed.review_id, placed.url, placed.cluster, trim(claim_reviewed) AS claim_reviewed, alternate_name, date_published, retrieved_by, domain, final AS label
+           FROM placed JOIN verdicts ON verdicts.url = placed.url AND verdicts.cluster = placed.cluster WHERE place = 1),
+links AS (
+    SELECT DISTINCT f.*, link FROM firsts f JOIN placed p ON p.url = f.url AND p.cluster = f.cluster JOIN raw_links r ON r.review_id = p.review_id)"""
 
 
 def _verdict(label: str = "label") -> str:
@@ -85,7 +105,7 @@ def _verdict(label: str = "label") -> str:
 
 
 def _table(where: str = "") -> str:
-    return f"""WITH {LINKS} SELECT link AS misinforming_url, {host("link")} AS misinforming_domain, count(*) AS n_reviews,
+    return f"""WITH {LINKS} SELECT link AS misinforming_url, {domain("link")} AS misinforming_domain, count(*) AS n_reviews,
         string_agg(CAST(review_id AS VARCHAR), ',' ORDER BY coalesce(CAST(date_published AS VARCHAR), '9999'), review_id) AS reviews FROM links {where} GROUP BY link"""
 
 
@@ -109,8 +129,8 @@ SQL: dict[str, str] = {
     "url_archive_unwrap": "SELECT page_id, url AS target FROM pages",
     "tweet_ids": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id * 7919 + 1 END AS tweet_id FROM documents",
     "appearances_split": f"""WITH {CR} SELECT review_id, array_to_string(list_filter(list_transform({SPLIT}, lambda x: trim(x)), lambda x: regexp_matches(x, '^https?://')), '|') AS parts FROM cr""",
-    "appearances_exploded": f"WITH {LINKS} SELECT review_id, link FROM links",
-    "appearances_no_self": f"WITH {LINKS} SELECT cr.review_id, count(link) AS n_links FROM cr LEFT JOIN links ON cr.review_id = links.review_id GROUP BY cr.review_id",
+    "appearances_exploded": f"WITH {RAW_LINKS} SELECT review_id, link FROM raw_links",
+    "appearances_no_self": f"WITH {RAW_LINKS} SELECT cr.review_id, count(link) AS n_links FROM cr LEFT JOIN raw_links ON cr.review_id = raw_links.review_id GROUP BY cr.review_id",
     "redirect_resolve": """WITH r AS (SELECT p.url, min(n.url) AS dest FROM pages p JOIN pages n ON n.page_id = p.page_id + 1 WHERE p.page_id % 7 = 0 GROUP BY p.url)
         SELECT page_id, coalesce(dest, pages.url) AS url FROM pages LEFT JOIN r ON pages.url = r.url""",
     "language_lookup": """WITH c AS (SELECT text, min(lang) AS language FROM documents WHERE doc_id % 2 = 0 GROUP BY text)
@@ -129,7 +149,7 @@ SQL: dict[str, str] = {
     "different_texts": f"""WITH {CLUSTERS} SELECT cr.url, count(DISTINCT cluster) AS n_clusters, count(DISTINCT trim(claim_reviewed)) AS n_texts
         FROM cr JOIN clusters ON cr.review_id = clusters.review_id GROUP BY cr.url HAVING count(DISTINCT cluster) > 1""",
     "merged_reviews": f"""WITH {CLUSTERS},
-        l AS (SELECT cluster, string_agg(DISTINCT link, '|' ORDER BY link) AS links FROM links JOIN clusters ON links.review_id = clusters.review_id GROUP BY cluster)
+        l AS (SELECT cluster, string_agg(DISTINCT link, '|' ORDER BY link) AS links FROM raw_links JOIN clusters ON raw_links.review_id = clusters.review_id GROUP BY cluster)
         SELECT lab.url, c.cluster, any_value(domain) AS domain, {_verdict()} AS label, count(DISTINCT trim(claim_reviewed)) AS n_texts, coalesce(any_value(links), '') AS links, count(*) AS n_reviews
         FROM lab JOIN clusters c ON lab.review_id = c.review_id LEFT JOIN l ON c.cluster = l.cluster GROUP BY lab.url, c.cluster""",
     "link_conflicts": f"WITH {LINKS} SELECT link, count(DISTINCT label) AS n_labels, count(*) AS n_reviews, {_verdict()} AS final_label FROM links GROUP BY link",
@@ -152,13 +172,14 @@ SQL: dict[str, str] = {
     "label_histogram": f"WITH {SCORED} SELECT label, count(*) AS n FROM lab GROUP BY label",
     "date_histogram": f"WITH {CR} SELECT CAST(date_published AS VARCHAR) AS day, count(*) AS n FROM cr GROUP BY 1",
     "job_stats": f"""WITH {LINKS}, {REG},
-        a AS (SELECT count(*) AS raw_reviews, count(DISTINCT url) AS review_urls,
-                     count(DISTINCT CASE WHEN reg.domain IS NULL THEN url END) AS urls_not_registered, count(DISTINCT CASE WHEN reg.domain IS NULL THEN lab.domain END) AS domains_not_registered
+        a AS (SELECT count(*) + count(reg.domain) AS raw_reviews, count(reg.domain) AS recollected_reviews,
+                     count(DISTINCT CASE WHEN reg.domain IS NULL THEN url END) AS urls_not_registered, count(DISTINCT CASE WHEN reg.domain IS NULL THEN lab.domain END) AS domains_not_registered,
+                     count(DISTINCT CASE WHEN reg.domain IS NOT NULL THEN url END) AS review_urls
               FROM lab LEFT JOIN reg ON lab.domain = reg.domain),
-        c AS (SELECT link, count(DISTINCT label) AS nl, count(*) AS nr FROM links GROUP BY link),
-        b AS (SELECT count(*) AS links, CAST(sum(CASE WHEN nl > 1 THEN 1 ELSE 0 END) AS BIGINT) AS links_disagreeing, CAST(sum(CASE WHEN nr > 1 THEN 1 ELSE 0 END) AS BIGINT) AS links_multi FROM c),
-        d AS (SELECT count(DISTINCT link) AS links_not_credible FROM links WHERE label = 'not_credible')
-        SELECT * FROM a, b, d""",
+        b AS (SELECT count(*) AS merged_reviews, count(CASE WHEN label = 'check_me' THEN 1 END) AS not_matching_labels FROM firsts WHERE domain IN (SELECT domain FROM reg)),
+        c AS (SELECT count(DISTINCT link) AS unique_appearances, count(DISTINCT CASE WHEN label = 'not_credible' THEN link END) AS links_not_credible FROM links WHERE domain IN (SELECT domain FROM reg)),
+        d AS (SELECT count(*) AS registered_domains FROM reg)
+        SELECT * FROM a, b, c, d""",
     "agree_by_domain": f"WITH {SCORED} SELECT domain, min(label) AS label, string_agg(DISTINCT retrieved_by, ',' ORDER BY retrieved_by) AS sources FROM lab GROUP BY domain HAVING count(DISTINCT label) = 1",
     "aggregate_agree": f"WITH {SCORED} SELECT url, min(label) AS label, string_agg(DISTINCT retrieved_by, ',' ORDER BY retrieved_by) AS sources FROM lab GROUP BY url HAVING count(DISTINCT label) = 1",
     "labels_per_author": f"WITH {SCORED} SELECT retrieved_by, count(DISTINCT label) AS n_labels FROM lab GROUP BY retrieved_by",
@@ -171,7 +192,7 @@ SQL: dict[str, str] = {
     "topic_extract": f"""WITH {LINKS},
         o AS (SELECT *, row_number() OVER (PARTITION BY link ORDER BY coalesce(CAST(date_published AS VARCHAR), '9999'), review_id) AS r,
                      count(*) OVER (PARTITION BY link) AS n_reviews, max(coalesce(CAST(date_published AS VARCHAR), '0')) OVER (PARTITION BY link) AS last_date FROM links)
-        SELECT link AS misinforming_url, {host("link")} AS misinforming_domain, replace(claim_reviewed, chr(10), '\\n') AS claim, url AS review_url, domain AS fact_checker, label, n_reviews, last_date
+        SELECT link AS misinforming_url, {domain("link")} AS misinforming_domain, replace(claim_reviewed, chr(10), '\\n') AS claim, url AS review_url, domain AS fact_checker, label, n_reviews, last_date
         FROM o WHERE r = 1 AND last_date > '2024-01-10' AND (contains(lower(claim_reviewed || ' ' || url), 'the') OR contains(lower(claim_reviewed || ' ' || url), 'que'))""",
     "latest_100": f"WITH {CR} SELECT review_id, url, CAST(date_published AS VARCHAR) AS day FROM cr WHERE date_published <= DATE '2024-01-20' ORDER BY date_published DESC, review_id LIMIT 100",
     "latest_10_with_page": f"""WITH {CR}, l AS (SELECT * FROM cr WHERE date_published <= DATE '2024-01-20' ORDER BY date_published DESC, review_id LIMIT 100),
@@ -185,7 +206,7 @@ SQL: dict[str, str] = {
         t AS (SELECT link, max(date_published) AS d FROM links GROUP BY link),
         p AS (SELECT link, d >= DATE '2024-01-20' AND {part("link", 3)} NOT IN ('', '/', '/permalink.php') AS ok, row_number() OVER (ORDER BY md5('seed' || link)) - 1 AS pos, count(*) OVER () AS n FROM t),
         f AS (SELECT link, pos, n, row_number() OVER (ORDER BY (pos - 17 % n + n) % n) AS r FROM p WHERE ok)
-        SELECT a.link AS misinforming_url, {host("a.link")} AS misinforming_domain, a.pos AS position, coalesce(b.pos, (16 + a.n) % a.n) AS next_cursor
+        SELECT a.link AS misinforming_url, {domain("a.link")} AS misinforming_domain, a.pos AS position, coalesce(b.pos, (16 + a.n) % a.n) AS next_cursor
         FROM f a LEFT JOIN f b ON b.r = 2 WHERE a.r = 1""",
     "union_sources": f"WITH {CR} SELECT review_id, url FROM cr WHERE k = 0 UNION ALL SELECT review_id, url FROM cr WHERE k < 2",
     "except_known_urls": f"WITH {CR} SELECT review_id, url FROM cr WHERE url NOT IN (SELECT url FROM cr WHERE review_id % 5 = 0)",

@@ -1,6 +1,6 @@
 """Reviews made from the synthetic tables by plain arithmetic, so that SQL can make the same.
 
-Four documents review each page; their texts are the page's base document with small or large changes.
+Four documents review each page; their claims are the first sentence of the page's base document with small or large changes.
 """
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.functions.urls import host
+from factloom.functions.urls import registered_domain
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -21,13 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with their hosts spread over sites: seven numbers, one page in eleven below a two-label suffix."""
+    site = F.concat(F.lit(".site"), (F.col("page_id") % 7).cast("string"))
+    abroad = F.regexp_replace("url", r"\.example\.(com|net|org)", F.concat(site, F.lit(".gov.br")))
+    url = F.when(F.col("page_id") % 11 == 0, abroad).otherwise(F.replace("url", F.lit(".example."), F.concat(site, F.lit("."))))
+    return table(spark, sf_dir, "pages").withColumn("url", url)
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """review_id, url, k, claim_reviewed, alternate_name, best, worst, value, appearance, date_published, retrieved_by."""
-    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    docs, pages = table(spark, sf_dir, "documents"), site_pages(spark, sf_dir)
     n = pages.count()
     d = docs.select(F.col("doc_id").alias("review_id"), F.col("source").alias("retrieved_by"), (F.col("doc_id") % n).alias("base"), F.floor(F.col("doc_id") / n).alias("k"))
     d = d.withColumn("a1", (F.col("review_id") * 7 + 1) % n).withColumn("a2", (F.col("review_id") * 13 + 5) % n)
-    base = docs.where(F.col("doc_id") < n).select(F.col("doc_id").alias("base"), F.substring("text", 1, 60).alias("opening"))
+    base = docs.where(F.col("doc_id") < n).select(F.col("doc_id").alias("base"), F.regexp_extract("text", r"^([^.\n]*)", 1).alias("opening"))
     link = lambda name: pages.select(F.col("page_id").alias(name), F.col("url").alias(f"{name}_url"))
     d = d.join(base, "base").join(link("base"), "base").join(link("a1"), "a1").join(link("a2"), "a2")
     label = F.lit(None).cast("string")
@@ -54,9 +62,9 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """domain, country of the known fact-checkers: hosts of four pages in five."""
-    pages, nation = table(spark, sf_dir, "pages"), table(spark, sf_dir, "nation")
-    rows = pages.where("page_id % 5 <> 0").select(host(F.col("url")).alias("domain"), (F.col("page_id") % 25).cast("int").alias("n_nationkey"))
+    """domain, country of the known fact-checkers: domains of the pages of four sites in seven."""
+    pages, nation = site_pages(spark, sf_dir), table(spark, sf_dir, "nation")
+    rows = pages.where("page_id % 7 < 4").select(registered_domain(F.col("url")).alias("domain"), (F.col("page_id") % 25).cast("int").alias("n_nationkey"))
     return rows.join(nation, "n_nationkey").groupBy("domain").agg(F.min("n_name").alias("country"))
 
 
