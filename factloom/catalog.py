@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import ratings, urls
-from factloom.operators import clustering, relations, serving, store
+from factloom.functions.dates import day_of
+from factloom.operators import clustering, relations, serving, store, tweets
 from factloom.operators import reviews as rv
 from factloom.oracle import SQL
-from factloom.sources import fixture, pages as pg
+from factloom.sources import fixture, listings, pages as pg, raw_reviews as raw, readers
 from factloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,7 +127,7 @@ on_table("json_path_counts", "events", lambda e: relations.json_path_counts(e, "
 
 # Service
 on_reviews("filter_satisfy", lambda cr: rv.link_table(cr).where(serving.satisfies(since="2019-01-01")).select("misinforming_url"))
-on_reviews("filter_since_until", lambda cr: rv.link_table(cr).where(serving.satisfies(since="2024-01-25", until="2024-01-03", exclude=())).select("misinforming_url"))
+on_reviews("filter_since_until", lambda cr: rv.link_table(cr).where(serving.satisfies(since="2024-01-15", until="2024-01-15", exclude=())).select("misinforming_url"))
 on_reviews("snapshot_range", lambda cr: serving.snapshots(cr.select(F.date_format("date_published", "yyyy_MM_dd").alias("date")).where("date IS NOT NULL").distinct(), "2024_01_10", "2024_01_20"))
 on_reviews("topic_extract", lambda cr: serving.topic_extract(rv.link_table(cr), words=["the", "que"], after="2024-01-10"))
 on_reviews("latest_100", lambda cr: serving.latest(cr, AS_OF).select("review_id", "url", F.col("date_published").cast("string").alias("day")))
@@ -151,37 +152,251 @@ on_reviews("replace_source_partition", lambda cr: store.replaced(cr.select("revi
 on_table("page_title", "pages", lambda p: p.select("page_id", pg.title(F.col("html")).alias("title")))
 
 
-def _with_jsonld(spark, sf_dir, graph: bool, broken: bool) -> DataFrame:
-    """Pages with a review made of their number put into a script."""
-    rows = fixture.table(spark, sf_dir, "pages").select("page_id", "url")
-    claim = F.lit('a "quoted" claim') if broken else F.lit("a claim")
-    doc = F.concat(F.lit('{"@type":"ClaimReview","url":"u'), F.col("page_id").cast("string"), F.lit('","claimReviewed":"'), claim, F.lit('","reviewRating":{"alternateName":"False"}}'))
+def _with_script(spark, sf_dir, graph: bool = False, broken: bool = False) -> DataFrame:
+    """The pages with a review of their title put into a script at their end; broken: with quotes that aren't escaped."""
+    rows = fixture.table(spark, sf_dir, "pages")
+    claim = pg.title(F.col("html"))
+    claim = F.concat(F.lit('a "quoted" '), claim) if broken else claim
+    doc = F.concat(F.lit('{"@type":"ClaimReview","url":"u","claimReviewed":"'), claim, F.lit('","reviewRating":{"alternateName":"False"},"itemReviewed":{"url":"http://link.org/'), F.col("page_id").cast("string"), F.lit('/"}}'))
     doc = F.concat(F.lit('{"@graph":[{"@type":"Person"},'), doc, F.lit("]}")) if graph else doc
-    html = F.concat(F.lit('<html><script type="application/ld+json">'), doc, F.lit("</script></html>"))
-    out = pg.jsonld(rows.select(F.col("page_id").cast("string").alias("url"), html.alias("html")))
+    return rows.withColumn("html", F.concat("html", F.lit('<script type="application/ld+json">'), doc, F.lit("</script>")))
+
+
+def _claims(spark, sf_dir, graph: bool, broken: bool) -> DataFrame:
+    rows = _with_script(spark, sf_dir, graph, broken)
+    out = pg.jsonld(rows.select(F.col("page_id").cast("string").alias("url"), "html"))
     return out.select(F.col("url").cast("long").alias("page_id"), F.expr("try_variant_get(doc, '$.claimReviewed', 'string')").alias("claim"), pg.textual_label().alias("label"))
 
 
-QUERIES["jsonld_extract"] = lambda spark, sf_dir: _with_jsonld(spark, sf_dir, False, False)
-QUERIES["jsonld_graph_extract"] = lambda spark, sf_dir: _with_jsonld(spark, sf_dir, True, False)
-QUERIES["jsonld_repair"] = lambda spark, sf_dir: _with_jsonld(spark, sf_dir, False, True)
+QUERIES["jsonld_extract"] = lambda spark, sf_dir: _claims(spark, sf_dir, False, False)
+QUERIES["jsonld_graph_extract"] = lambda spark, sf_dir: _claims(spark, sf_dir, True, False)
+QUERIES["jsonld_repair"] = lambda spark, sf_dir: _claims(spark, sf_dir, False, True)
+
+
+def _with_microdata(spark, sf_dir) -> DataFrame:
+    """The pages with an item of microdata at their end, whose claim is their title."""
+    item = F.concat(F.lit('<div itemscope itemtype="http://schema.org/ClaimReview"><span itemprop="claimReviewed">'), pg.title(F.col("html")), F.lit('</span><div itemprop="reviewRating" itemscope><meta itemprop="alternateName" content="False"></div></div>'))
+    return fixture.table(spark, sf_dir, "pages").withColumn("html", F.concat("html", item))
 
 
 @query
 def microdata_extract(spark, sf_dir):
-    rows = fixture.table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("url"))
-    html = F.concat(F.lit('<div itemscope itemtype="http://schema.org/ClaimReview"><span itemprop="claimReviewed">claim '), "url", F.lit('</span><div itemprop="reviewRating" itemscope><meta itemprop="alternateName" content="False"></div></div>'))
-    out = pg.microdata(rows.withColumn("html", html))
-    return out.select(F.col("url").cast("long").alias("page_id"), F.col("properties")["claimReviewed"].alias("claim"), F.col("properties")["reviewRating.alternateName"].alias("label"))
+    out = pg.microdata(_with_microdata(spark, sf_dir).select(F.col("page_id").cast("string").alias("url"), "html"))
+    return out.select(F.col("url").cast("long").alias("page_id"), F.length(F.col("properties")["claimReviewed"]) > 0, F.col("properties")["reviewRating.alternateName"].alias("label")).toDF("page_id", "has_claim", "label")
+
+
+# Raw documents
+@query
+def raw_reviews(spark, sf_dir):
+    """Appearances, numbers, labels and days of documents in four shapes, one for each page."""
+    p = fixture.site_pages(spark, sf_dir)
+    links = [
+        F.concat(F.lit('"itemReviewed":{"appearance":[{"url":"http://one.org/'), "page_id", F.lit('/"},{"url":"http://two.org/b c"}],"firstAppearance":"http://zero.org/"}')),
+        F.concat(F.lit('"itemReviewed":{"appearance":["http://one.org/'), "page_id", F.lit('","1","file.html"],"url":["http://three.org/x#f","ftp://no.org"]}')),
+        F.concat(F.lit('"itemReviewed":{"appearance":"http://one.org/'), "page_id", F.lit(',http://two.org/q","url":null}')),
+        F.concat(F.lit('"properties":{"itemReviewed":{"appearance":{"url":"http://one.org/'), "page_id", F.lit('"}}}')),
+    ]
+    ratings_ = ['"reviewRating":{"alternateName":"False"}', '"reviewRating":{"ratingValue":"4","bestRating":"5","worstRating":"1"}', '"reviewRating":{"ratingValue":3.9,"bestRating":5,"worstRating":1,"alternateName":["whatever"]}', '"reviewRating":{"properties":{"alternateName":{"@value":"Half True"}}}']
+    days = ["2024-02-03T23:30:00-05:00", "February 3, 2024", "3 Feb. 2024", "no day"]
+    kind = (F.col("page_id") % 4).cast("int")
+    pick = lambda xs: F.element_at(F.array(*[x if not isinstance(x, str) else F.lit(x) for x in xs]), kind + 1)
+    doc = F.concat(F.lit('{"@type":"ClaimReview","url":"'), "url", F.lit('","claimReviewed":["  claim ","other"],"datePublished":"'), pick(days), F.lit('",'), pick(ratings_), F.lit(","), pick(links), F.lit("}"))
+    out = raw.finished(raw.reviews_of(p.select(F.try_parse_json(doc).alias("doc")), "saved"))
+    return out.select("url", F.col("claim_reviewed").alias("claim"), "label", F.array_join("appearances", "|").alias("links"), F.col("date_published").cast("string").alias("day"))
+
+
+@query
+def pages_to_reviews(spark, sf_dir):
+    """Asked links to labelled reviews: pages of three sites, one of JSON-LD, one of microdata, one that has no reviews."""
+    rows = _with_script(spark, sf_dir)
+    item = F.lit('<div itemscope itemtype="http://schema.org/ClaimReview"><span itemprop="claimReviewed">item</span><div itemprop="reviewRating" itemscope><meta itemprop="alternateName" content="True"></div></div>')
+    site = F.element_at(F.array(F.lit("https://www.jsonld.org/"), F.lit("https://www.politifact.com/"), F.lit("https://newtral.es/")), (F.col("page_id") % 3).cast("int") + 1)
+    saved = rows.select(F.concat(site, F.col("page_id").cast("string")).alias("url"), F.concat("html", item).alias("html"))
+    asked = saved.select(F.concat("url", F.lit("/?utm_source=feed")).alias("url"))
+    out = raw.retrieved(asked, saved)
+    return out.select("url", "label", F.array_join("appearances", "|").alias("links"), (F.length("claim_reviewed") > 0).alias("has_claim"))
+
+
+@query
+def csv_reviews(spark, sf_dir):
+    p = fixture.site_pages(spark, sf_dir)
+    text = lambda c: F.col(c).cast("string")
+    names = {"When did you see the claim?": F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 300).cast("int")), "M/d/yyyy"), "Organization": F.concat(F.lit("org"), (F.col("page_id") % 9).cast("string")), "What did you fact-check?": F.concat(F.lit(" claim "), text("page_id")), "Who said/posted it?": F.lit("someone"), "Link to the original piece": F.concat(F.lit(" gone http://one.org/"), text("page_id"), F.lit("/  https://two.org/ httpnot")), "URL to fact-checked article (in your language)": F.col("url"), "Final rating": F.lit("FALSE"), "Explanation": F.lit("why")}
+    out = raw.csv_reviews(p.select(*[v.alias(k) for k, v in names.items()]))
+    return out.select("url", "claim_reviewed", "author", F.array_join("links", "|").alias("links"), F.col("date_published").cast("string").alias("day"))
+
+
+@query
+def rest_items(spark, sf_dir):
+    """Pages of twenty items each; every fifth item is listed again on the next page, which wins."""
+    p = fixture.table(spark, sf_dir, "pages").select("page_id", F.floor(F.col("page_id") / 20).alias("page"))
+    both = p.unionByName(p.where("page_id % 5 = 0").withColumn("page", F.col("page") + 1).withColumn("again", F.lit("b")), allowMissingColumns=True)
+    item = F.concat(F.lit('{"id":"'), F.col("page_id").cast("string"), F.lit('","slug":"s'), F.col("page_id").cast("string"), F.coalesce("again", F.lit("a")), F.lit('"}'))
+    bodies = both.groupBy("page").agg(F.concat(F.lit('{"raw":['), F.array_join(F.collect_list(item), ","), F.lit("]}")).alias("body"))
+    last = bodies.agg((F.max("page") + 1).alias("page")).withColumn("body", F.lit('{"raw":[]}'))
+    out = raw.rest_items(bodies.unionByName(last), "https://home.org/")
+    return out.select("id", "url")
+
+
+@query
+def registry_parse(spark, sf_dir):
+    """Entries of a saved registry, one for each page's site; of equal domains the last."""
+    p = fixture.site_pages(spark, sf_dir)
+    entry = F.concat(F.lit('{"website":"'), "url", F.lit('","name":"n'), F.col("page_id").cast("string"), F.lit('","country":"c'), (F.col("page_id") % 25).cast("string"), F.lit('"}'))
+    return raw.registry_of(p.select(entry.alias("raw"), F.col("page_id").alias("place"))).select("domain", "name", "country")
+
+
+@query
+def spreadsheet_rows(spark, sf_dir):
+    p = fixture.table(spark, sf_dir, "pages")
+    entry = F.concat(F.lit('{"id":"x","gsx$a.b":{"$t":" Number "},"gsx$c":{"$t":"Link"}}').cast("string"))
+    row = F.concat(F.lit('{"gsx$a.b":{"$t":" '), F.col("page_id").cast("string"), F.lit(' "},"gsx$c":{"$t":"'), "url", F.lit('"}}'))
+    rows = p.select((F.col("page_id") + 1).alias("place"), row.alias("entry")).unionByName(p.limit(1).select(F.lit(0).cast("long").alias("place"), entry.alias("entry")))
+    out = readers.spreadsheet_rows(rows)
+    return out.select("place", F.col("cells")["Number"].alias("number"), F.col("cells")["Link"].alias("link"))
+
+
+@query
+def topic_feed_flatten(spark, sf_dir):
+    """Occurrences of a feed with two debunks a page; each with the number that its link has."""
+    p = fixture.site_pages(spark, sf_dir).select("page_id", "url")
+    one = lambda i: F.concat(F.lit('{"date":"2024-01-0'), F.lit(str(i)), F.lit('","debunkLink":" https://debunk.org/'), F.col("page_id").cast("string"), F.lit(f'/{i} ","debunkTitle":"a\\nb","factchecker":"f'), (F.col("page_id") % 5).cast("string"), F.lit('","country":{"name":"n"}}'))
+    link = F.when(F.col("page_id") % 10 == 9, F.lit("no link")).otherwise(F.concat(F.lit("http://topic.org/"), (F.col("page_id") % 50).cast("string")))
+    feed = p.select(F.concat(F.lit('[{"disinfoLink":"'), link, F.lit('","ocurrences":['), one(1), F.lit(","), one(2), F.lit("]}]")).alias("raw"))
+    return readers.counted_by_link(readers.topic_feed(feed)).select("link", "date", "debunk_link", "title", "factchecker", "n_of_link")
+
+
+@query
+def days_normalised(spark, sf_dir):
+    """Days of events written in eight ways."""
+    e = fixture.table(spark, sf_dir, "events")
+    forms = ["yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss'+09:00'", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "M/d/yyyy", "d.M.yyyy", "'Posted on' MMMM d, yyyy"]
+    text = F.element_at(F.array(*[F.date_format("ts", f) for f in forms]), (F.col("event_id") % len(forms)).cast("int") + 1)
+    return e.select("event_id", day_of(text).cast("string").alias("day"))
+
+
+@query
+def json_leaf_counts(spark, sf_dir):
+    """Paths of leaves in documents with objects in objects and in lists."""
+    e = fixture.table(spark, sf_dir, "events")
+    doc = F.concat(F.lit('{"a":{"b":{"c":{"d":'), "props", F.lit('}}},"l":[{"u":1},{"u":2},3],"ifcn_info":{"x":1},"t":"'), "event_type", F.lit('"}'))
+    return relations.json_path_counts(e.select(doc.alias("doc")), "doc")
+
+
+@query
+def url_canonical_features(spark, sf_dir):
+    """Links with users, ports, dots, escapes, blanks, repeated and tracking keys, and fragments, one for each page."""
+    n = F.col("page_id").cast("string")
+    scheme = F.when(F.col("page_id") % 2 == 0, "http").otherwise("https")
+    port = F.element_at(F.array(F.lit(":80"), F.lit(":443"), F.lit(":8080"), F.lit("")), (F.col("page_id") % 4).cast("int") + 1)
+    raw_link = F.concat(scheme, F.lit("://Me@Www.A"), n, F.lit("..ORG"), port, F.lit("/a b//./x/../%7Eu%2541/\u00e9/?z=%41+b&utm_source=q&k=1&k="), n, F.lit("&e=#x y%23"))
+    return fixture.table(spark, sf_dir, "pages").select("page_id", urls.canonical(raw_link).alias("canonical"))
+
+
+@query
+def links_resolved(spark, sf_dir):
+    """Links through known redirects, archive addresses and saved archive pages; others in their canonical form."""
+    p = fixture.site_pages(spark, sf_dir).select("page_id", "url")
+    kind = F.col("page_id") % 4
+    n = F.col("page_id").cast("string")
+    asked = p.select("page_id", F.when(kind == 0, F.concat(F.lit("http://bit.ly/"), n)).when(kind == 1, F.concat(F.lit("https://web.archive.org/web/2022/http://kept.org/"), n)).when(kind == 2, F.concat(F.lit("https://archive.is/"), n)).otherwise(F.concat(F.lit("http://Plain.ORG:80/"), n, F.lit("/"))).alias("url"))
+    redirects = p.where(kind == 0).select(F.concat(F.lit("http://bit.ly/"), n).alias("url"), F.concat(F.lit("http://to.org/"), n).alias("to"))
+    saved = p.where(kind == 2).select(F.concat(F.lit("https://archive.is/"), n).alias("url"), F.concat(F.lit('<form id="search"><input type="text" name="q" value="http://of.org/'), n, F.lit('"></form>')).alias("html"))
+    return urls.resolved_links(asked, redirects, saved)
+
+
+# Listings
+def _item(source: str) -> Column:
+    """An article as the source's listing shows it, with the page's number as address and title."""
+    n = F.col("page_id").cast("string")
+    forms = {
+        "snopes": ['<article class="media-wrapper x"><a class="fact_check" href="http://l.org/', n, '"><h5 class="title"> T', n, '</h5></a><span class="date">3 February 2024</span></article>'],
+        "politifact": ['<div class="m-statement"><div class="m-statement__author"><a>A</a></div><div class="m-statement__quote"><a href="/', n, '">T', n, '</a></div><div class="m-statement__meter"><img alt="False"></div><footer class="m-statement__footer">By B \u2022 February 3, 2024</footer></div>'],
+        "factcheck_org": ['<article><h3 class="entry-title"><a href="http://l.org/', n, '">T', n, '</a></h3><div class="entry-content"><p>S</p></div><header class="entry-header"><div class="entry-meta">February 3, 2024</div></header></article>'],
+        "factcheckni": ['<article><header class="entry-header"><div class="entry-meta"><time class="entry-date" datetime="2024-02-03"></time></div></header><h2 class="entry-title"><a href="http://l.org/', n, '">T', n, '</a></h2><div class="entry-content"><p>CLAIM: C</p></div></article>'],
+        "leadstories": ['<article><a href="http://l.org/', n, '"><h1>T', n, '</h1></a><p class="mod-default-article-description">S</p><time datetime="2024-02-03"></time><span class="caption-overlay">False</span></article>'],
+        "istinomer": ['<article><h2 class="posttitle"><a href="http://l.org/', n, '">T', n, "</a></h2></article>"],
+        "weeklystandard": ['<li><div class="ThumbnailAuthorDatePromo-info"><a class="Link" href="http://l.org/', n, '">T', n, "</a></div></li>"],
+        "teyit_org": ['<article><div><a href="http://l.org/', n, '">T</a></div></article>'],
+        "fullfact": ['<div class="postlist-item"><h2 class="postlist-item-heading"><a href="/', n, '">T', n, '</a></h2><p>S</p></div><div class="postlist-item"><p>newsletter</p></div>'],
+        "euvsdisinfo": ['<div class="disinfo-db-post"><a href="/', n, '"></a><table><tr><td class="disinfo-db-date">03.02.2024</td><td class="cell-title">T', n, '</td><td class="cell-country">X</td></tr></table></div>'],
+    }
+    return F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in forms[source]])
+
+
+def _listing(source: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Listing pages of ten articles made of all pages, read back; after the last comes the first article again."""
+    around = {"snopes": ('<main class="base-main">', "</main>"), "factcheck_org": ('<main id="main">', "</main>"), "factcheckni": ('<main id="main">', "</main>"), "weeklystandard": ('<ul class="ThumbnailAuthorDateList-items">', '</ul><li class="ColumnList-nextPage"><a href="/n">next</a></li>')}
+    head, tail = around.get(source, ("<div>", "</div>"))
+
+    def run(spark, sf_dir):
+        p = fixture.table(spark, sf_dir, "pages").select("page_id", F.floor(F.col("page_id") / 10).alias("number"), F.lit(0).alias("late"))
+        again = p.where("page_id = 0").withColumn("number", F.lit(1 << 40).cast("long")).withColumn("late", F.lit(1))
+        rows = p.unionByName(again).select("number", F.struct("page_id", _item(source).alias("item")).alias("r"))
+        html = rows.groupBy("number").agg(F.concat(F.lit(head), F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["item"]), ""), F.lit(tail)).alias("html"))
+        found = listings.cleaned(listings.listing_rows(html.withColumn("source", F.lit(source))))
+        found = listings.last_of_each(listings.until_repeated(found))
+        return found.select("url", F.coalesce("title", "claim").alias("title"), F.col("date").alias("day"), "label", "next")
+
+    return run
+
+
+for _source in ("snopes", "politifact", "factcheck_org", "factcheckni", "leadstories", "istinomer", "weeklystandard", "teyit_org", "fullfact", "euvsdisinfo"):
+    QUERIES[f"listing_{_source}"] = _listing(_source)
+
+
+@query
+def listing_until_known(spark, sf_dir):
+    """New links of a crawl up to where three in a row are known; known are all from the middle on, and every fourth."""
+    p = fixture.table(spark, sf_dir, "pages")
+    rows = p.select(F.lit("s").alias("source"), F.floor(F.col("page_id") / 10).alias("number"), (F.col("page_id") % 10).alias("place"), "url", "page_id")
+    middle = p.agg(F.floor(F.max("page_id") / 2)).first()[0]
+    return listings.until_known(rows, p.where((F.col("page_id") % 4 == 1) | (F.col("page_id") >= middle)), 3).select("page_id", "url")
+
+
+# Tweets
+def _tweets(spark, sf_dir):
+    cr = fixture.reviews(spark, sf_dir)
+    status = F.concat(F.lit("https://twitter.com/u_1/status/"), (F.col("review_id") % 60 + 1).cast("string"))
+    cr = cr.withColumn("appearance", F.when(F.col("review_id") % 2 == 0, status).otherwise(F.col("appearance")))
+    tweets = fixture.table(spark, sf_dir, "conversations").where("turn = 0").select(F.col("conv_id").alias("id"), "text").groupBy("id").agg(F.min("text").alias("text"))
+    return cr, fixture.registry(spark, sf_dir), tweets
+
+
+@query
+def tweet_reviews(spark, sf_dir):
+    cr, registry, known = _tweets(spark, sf_dir)
+    out = tweets.tweet_reviews(tweets.status_links(cr, registry), known)
+    return out.select("tweet_id", "label", "n_reviews", F.col("text").isNotNull().alias("found"))
+
+
+@query
+def tweet_stats(spark, sf_dir):
+    return tweets.tweet_stats(*_tweets(spark, sf_dir))
+
+
+@query
+def tweet_labels(spark, sf_dir):
+    cr, registry, _ = _tweets(spark, sf_dir)
+    return tweets.labels_of_tweets(tweets.status_links(cr, registry))
+
+
+# More of the service
+on_reviews("topic_recent", lambda cr: serving.topic_recent(rv.link_table(cr), "2024-01-20").select("misinforming_url", "last_date"))
+on_table("page_article", "pages", lambda p: p.select("page_id", serving.article(F.col("html")).alias("a")).select("page_id", "a.title", "a.description"))
+on_reviews("check_me_excluded", lambda cr: rv.merged(cr).where("label <> 'check_me'").groupBy(F.translate("label", "_", " ").alias("label")).agg(F.count("*").alias("n")))
+on_both("recollection_percent", lambda cr, r: relations.recollection(cr, cr.where("review_id % 3 <> 0"), r).select("domain", F.round(100 * F.col("ratio"), 4).alias("percent")))
+on_reviews("stale_snapshots", lambda cr: store.stale_dates(cr.select(F.date_format("date_published", "yyyy_MM_dd").alias("date")).where("date IS NOT NULL").distinct(), "2024_01_20"))
+on_reviews("wide_claims", lambda cr: rv.merged(cr).where(F.size("claim_text") > 0).select("url", "cluster", F.get("claim_text", 0).alias("text")))
 
 
 @query
 def embedding_pairs(spark, sf_dir):
     rows = fixture.table(spark, sf_dir, "embeddings")
-    return clustering.embedding_pairs(rows, 0.9).select("i", "j")
+    return clustering.embedding_pairs(rows, 1.15).select("i", "j")
 
 
-on_table("embedding_clusters", "embeddings", clustering.embedding_clusters)
+on_table("embedding_clusters", "embeddings", lambda e: clustering.embedding_clusters(e, 1.15))
 on_table("events_tumbling", "events", incremental.tumbling)
 on_table("events_session", "events", incremental.sessions)
 

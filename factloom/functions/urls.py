@@ -164,8 +164,7 @@ def resolved_links(rows: DataFrame, redirects: DataFrame, pages: DataFrame, colu
     saved = pages.where(is_archive(F.col("url"))).select(canonical(F.col("url")).alias("_page"), form_target(F.col("html")).alias("_target")).where("_target IS NOT NULL").dropDuplicates(["_page"])
     out = rows.withColumn("_own", canonical(F.col(column)))
     out = out.join(known, out["_own"] == known["_from"], "left").join(saved, out["_own"] == saved["_page"], "left")
-    inner = canonical(unwrapped(F.col("_own")))
-    return out.withColumn(column, F.coalesce("_to", "_target", inner, "_own")).drop("_own", "_from", "_to", "_page", "_target")
+    return out.withColumn(column, F.coalesce(F.col("_to"), F.col("_target"), unwrapped(F.col("_own")))).drop("_own", "_from", "_to", "_page", "_target")
 
 
 def corrected(url: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.functions.tables import ACCOUNT_DOMAINS, HOMEPAGE_PATHS, LEFT_OUT_DOMAINS, NEVER_SAMPLED, TOPIC_AFTER, TOPIC_WORDS
+from factloom.functions.tables import ACCOUNT_DOMAINS, HOMEPAGE_PATHS, LEFT_OUT_DOMAINS, NEVER_SAMPLED, SOCIAL_DOMAINS, TOPIC_AFTER, TOPIC_WORDS
 from factloom.functions.urls import path, registered_domain
 
 
@@ -92,6 +92,38 @@ def topic_extract(links: DataFrame, words: Sequence[str] = TOPIC_WORDS, after: s
     return rows.select("misinforming_url", "misinforming_domain", one_line(first["claim_reviewed"]).alias("claim"), first["review_url"].alias("review_url"), first["domain"].alias("fact_checker"), first["label"].alias("label"), F.size("reviews").cast("long").alias("n_reviews"), F.array_max(dates).alias("last_date"))
 
 
+def topic_recent(links: DataFrame, after: str = TOPIC_AFTER) -> DataFrame:
+    """Links with a review after a day (no date counts as '0'), and their last date."""
+    last = F.array_max(F.transform("reviews", lambda r: F.coalesce(r["date_published"].cast("string"), F.lit("0"))))
+    return links.withColumn("last_date", last).where(F.col("last_date") > after)
+
+
+def topic_package(extracts: dict[str, DataFrame], path: str, date: str) -> dict[str, int]:
+    """Each extract as tab-separated text below path/date, and how many rows it has."""
+    counts = {}
+    for name, rows in extracts.items():
+        rows.write.mode("overwrite").option("escape", '"').csv(f"{path}/{date}/{name}", sep="\t", header=True)
+        counts[name] = rows.count()
+    return counts
+
+
+def article(html: Column) -> Column:
+    """title, description and the length of the text of a page, of what there is."""
+    meta = lambda name: F.regexp_extract(html, rf'(?is)<meta[^>]*(?:name|property)="{name}"[^>]*content="([^"]*)"', 1)
+    text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>", " "), r"(?s)<[^>]*>", " ")
+    words = F.trim(F.regexp_replace(text, r"\s+", " "))
+    title = F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    return F.struct(
+        F.nullif(F.coalesce(F.nullif(title, F.lit("")), meta("og:title")), F.lit("")).alias("title"),
+        F.nullif(F.coalesce(F.nullif(meta("description"), F.lit("")), meta("og:description")), F.lit("")).alias("description"),
+        F.length(words).cast("long").alias("text_length"),
+    )
+
+
+def not_social(domain: Column) -> Column:
+    return ~domain.isin(*SOCIAL_DOMAINS)
+
+
 def first_per_checker(reviews: DataFrame, n: int = 100) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("date_published"), "url", "review_id"))
     return reviews.withColumn("domain", registered_domain(F.col("url"))).withColumn("place", place).where(F.col("place") <= n)

@@ -54,3 +54,63 @@ def write_tsv(rows: DataFrame, path: str) -> None:
 
 def write_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
+
+
+def save_raw(rows: DataFrame, path: str, source: str, clean: bool = True) -> None:
+    """The raw rows of a source, in place of those saved before, or beside them if not clean."""
+    rows.write.mode("overwrite" if clean else "append").parquet(f"{path}/raw/{source}")
+
+
+def write_text(rows: DataFrame, path: str, column: str) -> None:
+    rows.select(column).write.mode("overwrite").text(path)
+
+
+def write_csv(rows: DataFrame, path: str) -> None:
+    """A table with its header; without rows nothing is written."""
+    if not rows.isEmpty():
+        rows.write.mode("overwrite").option("escape", '"').csv(path, header=True)
+
+
+def of_source(stored: DataFrame, source: str) -> DataFrame:
+    return stored.where(F.col("retrieved_by").eqNullSafe(F.lit(source)))
+
+
+def points(stored: DataFrame, keys: DataFrame, key: str = "url") -> DataFrame:
+    """The stored rows of some keys: look-ups one by one become a join."""
+    return stored.join(keys.select(key).distinct(), key, "left_semi")
+
+
+def stale_dates(index: DataFrame, date: str) -> DataFrame:
+    """Dates of the index but `date` and latest, which a restore of `date` makes stale."""
+    return index.select("date").distinct().exceptAll(index.sparkSession.createDataFrame([(date,), ("latest",)], "date string").distinct())
+
+
+def index_entry(index: DataFrame, date: str = "latest") -> DataFrame:
+    """The entry of a date; an unknown date is an error."""
+    entry = index.where(F.col("date") == date)
+    if entry.isEmpty():
+        raise KeyError(f"nothing for {date}")
+    return entry
+
+
+def data_file(index: DataFrame, file: str, date: str = "latest") -> str:
+    """Where a file of a date lies, from its entry's map `files`; an unknown file is an error."""
+    found = index_entry(index, date).select(F.try_element_at("files", F.lit(file)).alias("path")).first()
+    if found["path"] is None:
+        raise KeyError(f"no {file} for {date}")
+    return found["path"]
+
+
+def loaded_or_made(spark: SparkSession, path: str, make) -> DataFrame:
+    """The table at path; where there is none it is made first, and written."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        make().write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def replace_rows(rows: DataFrame, path: str, source: str) -> None:
+    """A source's rows in place of those written before, stamped with the source and the time."""
+    if rows.isEmpty():
+        raise ValueError(f"no rows for {source}: nothing is replaced")
+    stamped(rows, source).withColumn("updated", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/rows/{source}")

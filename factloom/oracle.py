@@ -116,6 +116,8 @@ recollected AS (
     SELECT domain, before, coalesce(after, 0) AS after, CAST(coalesce(after, 0) AS DOUBLE) / before AS ratio
     FROM reg JOIN before USING (domain) LEFT JOIN after USING (domain))"""
 
+TWEETS = f"""{RAW_LINKS}, {REG}, t AS (SELECT *, review_id % 60 + 1 AS tweet_id FROM lab WHERE review_id % 2 = 0 AND domain IN (SELECT domain FROM reg))"""
+
 SQL: dict[str, str] = {
     "rating_label": f"WITH {SCORED} SELECT review_id, label FROM lab",
     "rating_score_textual": f"WITH {SCORED} SELECT review_id, simplified, text_score AS score FROM lab",
@@ -187,7 +189,7 @@ SQL: dict[str, str] = {
     "filter_satisfy": f"""WITH {LINKS} SELECT link AS misinforming_url FROM links GROUP BY link
         HAVING count(CASE WHEN date_published >= DATE '2019-01-01' THEN 1 END) > 0 AND {part("link", 3)} NOT IN ('', '/', '/permalink.php')""",
     "filter_since_until": f"""WITH {LINKS} SELECT link AS misinforming_url FROM links GROUP BY link
-        HAVING count(CASE WHEN date_published >= DATE '2024-01-25' THEN 1 END) > 0 AND count(CASE WHEN date_published <= DATE '2024-01-03' THEN 1 END) > 0 AND {part("link", 3)} NOT IN ('', '/', '/permalink.php')""",
+        HAVING count(CASE WHEN date_published >= DATE '2024-01-15' THEN 1 END) > 0 AND count(CASE WHEN date_published <= DATE '2024-01-15' THEN 1 END) > 0 AND {part("link", 3)} NOT IN ('', '/', '/permalink.php')""",
     "snapshot_range": f"WITH {CR} SELECT DISTINCT strftime(date_published, '%Y_%m_%d') AS date FROM cr WHERE date_published BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'",
     "topic_extract": f"""WITH {LINKS},
         o AS (SELECT *, row_number() OVER (PARTITION BY link ORDER BY coalesce(CAST(date_published AS VARCHAR), '9999'), review_id) AS r,
@@ -217,11 +219,58 @@ SQL: dict[str, str] = {
     "replace_source_partition": f"""WITH {CR} SELECT retrieved_by, count(*) AS n FROM (
         SELECT retrieved_by FROM cr WHERE retrieved_by <> 'src1' UNION ALL SELECT 'src1' AS retrieved_by FROM cr WHERE k = 0 AND review_id % 2 = 0) GROUP BY retrieved_by""",
     "page_title": "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages",
-    "jsonld_extract": "SELECT page_id, 'a claim' AS claim, 'False' AS label FROM pages",
-    "jsonld_graph_extract": "SELECT page_id, 'a claim' AS claim, 'False' AS label FROM pages",
-    "jsonld_repair": "SELECT page_id, 'a \"quoted\" claim' AS claim, 'False' AS label FROM pages",
-    "microdata_extract": "SELECT page_id, 'claim ' || CAST(page_id AS VARCHAR) AS claim, 'False' AS label FROM pages",
-    "embedding_pairs": "SELECT a.vec_id AS i, b.vec_id AS j FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_distance(a.embedding, b.embedding) < 0.9",
+    "jsonld_extract": "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS claim, 'False' AS label FROM pages",
+    "jsonld_graph_extract": "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS claim, 'False' AS label FROM pages",
+    "jsonld_repair": "SELECT page_id, 'a \"quoted\" ' || regexp_extract(html, '<title>([^<]*)</title>', 1) AS claim, 'False' AS label FROM pages",
+    "microdata_extract": "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) <> '' AS has_claim, 'False' AS label FROM pages",
+    "raw_reviews": f"""WITH {CR} SELECT url, 'claim' AS claim, CASE page_id % 4 WHEN 0 THEN 'not_credible' WHEN 1 THEN 'mostly_credible' ELSE 'uncertain' END AS label,
+        CASE page_id % 4 WHEN 0 THEN 'http://one.org/' || page_id || '|http://two.org/b|http://zero.org' WHEN 1 THEN 'http://one.org/' || page_id || '|http://three.org/x?#f'
+             WHEN 2 THEN 'http://one.org/' || page_id || '|http://one.org/' || page_id || ',http:/two.org/q|http://two.org/q' ELSE 'http://one.org/' || page_id END AS links,
+        CASE WHEN page_id % 4 < 3 THEN '2024-02-03' END AS day FROM pg""",
+    "pages_to_reviews": """SELECT CASE page_id % 3 WHEN 0 THEN 'https://www.jsonld.org/' ELSE 'https://www.politifact.com/' END || page_id || '/?utm_source=feed' AS url,
+        CASE page_id % 3 WHEN 0 THEN 'not_credible' ELSE 'credible' END AS label, CASE page_id % 3 WHEN 0 THEN 'http://link.org/' || page_id ELSE '' END AS links, true AS has_claim FROM pages WHERE page_id % 3 < 2""",
+    "csv_reviews": f"""WITH {CR} SELECT {canonical("url")} AS url, 'claim ' || page_id AS claim_reviewed, 'org' || page_id % 9 AS author, 'http://one.org/' || page_id || '|https://two.org|https://httpnot' AS links,
+        strftime(DATE '2024-01-01' + CAST(page_id % 300 AS INT), '%Y-%m-%d') AS day FROM pg""",
+    "rest_items": "SELECT CAST(page_id AS VARCHAR) AS id, 'https://home.org/s' || page_id || CASE WHEN page_id % 5 = 0 THEN 'b' ELSE 'a' END AS url FROM pages",
+    "registry_parse": f"WITH {CR}, d AS (SELECT {domain('url')} AS domain, max(page_id) AS n FROM pg GROUP BY 1) SELECT domain, 'n' || n AS name, 'c' || n % 25 AS country FROM d",
+    "spreadsheet_rows": "SELECT page_id + 1 AS place, CAST(page_id AS VARCHAR) AS number, url AS link FROM pages",
+    "topic_feed_flatten": r"""WITH o AS (SELECT page_id, i, 'http://topic.org/' || page_id % 50 AS link FROM pages, range(1, 3) AS r(i) WHERE page_id % 10 <> 9)
+        SELECT link, '2024-01-0' || i AS date, 'https://debunk.org/' || page_id || '/' || i AS debunk_link, 'a\nb' AS title, 'f' || page_id % 5 AS factchecker, count(*) OVER (PARTITION BY link) AS n_of_link FROM o""",
+    "days_normalised": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
+    "json_leaf_counts": """WITH k AS (SELECT unnest(json_keys(props)) AS k FROM events), n AS (SELECT count(*) AS n FROM events)
+        SELECT 'a.b.c.d.' || k AS path, count(*) AS n FROM k GROUP BY 1 UNION ALL SELECT 'l.u', 2 * n FROM n UNION ALL SELECT 'l', n FROM n UNION ALL SELECT 't', n FROM n""",
+    "url_canonical_features": """SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http' ELSE 'https' END || '://Me@www.a' || page_id || '.org' || CASE page_id % 4 WHEN 2 THEN ':8080' ELSE '' END
+        || '/a%20b/~uA/%C3%A9?e=&k=' || page_id || '&z=A+b#x%20y%23' AS canonical FROM pages""",
+    "links_resolved": """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'http://to.org/' WHEN 1 THEN 'http://kept.org/' WHEN 2 THEN 'http://of.org/' ELSE 'http://plain.org/' END || page_id AS url FROM pages""",
+    **{
+        f"listing_{name}": f"SELECT '{base}' || page_id AS url, {title} AS title, {day} AS day, {label} AS label, {onward} AS next FROM pages"
+        for name, base, title, day, label, onward in [
+            ("snopes", "http://l.org/", "'T' || page_id", "'2024-02-03'", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+            ("politifact", "https://www.politifact.com/", "'T' || page_id", "'2024-02-03'", "'not_credible'", "CAST(NULL AS VARCHAR)"),
+            ("factcheck_org", "http://l.org/", "'T' || page_id", "'2024-02-03'", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+            ("factcheckni", "http://l.org/", "'T' || page_id", "'2024-02-03'", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+            ("leadstories", "http://l.org/", "'T' || page_id", "'2024-02-03'", "'not_credible'", "CAST(NULL AS VARCHAR)"),
+            ("istinomer", "http://l.org/", "'T' || page_id", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+            ("weeklystandard", "http://l.org/", "'T' || page_id", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", "'/n'"),
+            ("teyit_org", "http://l.org/", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+            ("fullfact", "https://fullfact.org/", "'T' || page_id", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+            ("euvsdisinfo", "https://euvsdisinfo.eu/", "'T' || page_id", "'2024-02-03'", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
+        ]
+    },
+    "listing_until_known": """WITH m AS (SELECT floor(max(page_id) / 2) AS m FROM pages) SELECT page_id, url FROM pages, m WHERE page_id < m AND page_id % 4 <> 1""",
+    "topic_recent": f"WITH {LINKS} SELECT link AS misinforming_url, max(coalesce(CAST(date_published AS VARCHAR), '0')) AS last_date FROM links GROUP BY link HAVING max(coalesce(CAST(date_published AS VARCHAR), '0')) > '2024-01-20'",
+    "page_article": "SELECT page_id, nullif(trim(regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1)), '') AS title, nullif(regexp_extract(html, '<meta[^>]*name=\"description\"[^>]*content=\"([^\"]*)\"', 1), '') AS description FROM pages",
+    "check_me_excluded": f"WITH {LINKS} SELECT replace(label, '_', ' ') AS label, count(*) AS n FROM firsts WHERE label <> 'check_me' GROUP BY 1",
+    "recollection_percent": f"WITH {RECOLLECTED} SELECT domain, round(100 * ratio, 4) AS percent FROM recollected",
+    "stale_snapshots": f"WITH {CR} SELECT DISTINCT strftime(date_published, '%Y_%m_%d') AS date FROM cr WHERE date_published IS NOT NULL AND date_published <> DATE '2024-01-20'",
+    "wide_claims": f"WITH {CLUSTERS} SELECT cr.url, cluster, min(trim(claim_reviewed)) AS text FROM cr JOIN clusters ON clusters.review_id = cr.review_id GROUP BY cr.url, cluster",
+    "tweet_reviews": f"""WITH {TWEETS} SELECT tweet_id, CASE WHEN count(DISTINCT label) > 1 THEN 'check_me' ELSE min(label) END AS label, count(*) AS n_reviews, tweet_id IN (SELECT conv_id FROM conversations WHERE turn = 0 AND text IS NOT NULL) AS found FROM t GROUP BY tweet_id""",
+    "tweet_stats": f"""WITH {TWEETS}, g AS (SELECT tweet_id, count(*) AS n, count(DISTINCT label) AS l FROM t GROUP BY tweet_id)
+        SELECT count(*) AS tweet_reviews, CAST(count(*) FILTER (tweet_id NOT IN (SELECT conv_id FROM conversations WHERE turn = 0 AND text IS NOT NULL)) AS BIGINT) AS tweets_not_found, count(*) FILTER (n > 1) AS tweets_of_several_reviews, count(*) FILTER (l > 1) AS tweets_disagreeing,
+               (SELECT count(*) FROM raw_links WHERE review_id % 2 = 1 AND review_id IN (SELECT review_id FROM lab WHERE domain IN (SELECT domain FROM reg))) AS links_without_tweet,
+               (SELECT count(*) FROM lab WHERE review_id % 2 = 1 AND domain IN (SELECT domain FROM reg)) AS reviews_without_tweet FROM g""",
+    "tweet_labels": f"""WITH {TWEETS} SELECT label, string_agg(DISTINCT coalesce(alternate_name, ''), '|' ORDER BY coalesce(alternate_name, '')) AS original_labels FROM t GROUP BY label""",
+    "embedding_pairs": "SELECT a.vec_id AS i, b.vec_id AS j FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_distance(a.embedding, b.embedding) < 1.15",
     "events_tumbling": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "events_session": """WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
         s AS (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g),

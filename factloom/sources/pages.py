@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
 TOO_LARGE = 10_000_000
-#: Domains whose pages hold microdata; pages of all others are read as JSON-LD.
-MICRODATA_DOMAINS = ["politifact.com", "washingtonpost.com", "animalpolitico.com", "istinomer.rs"]
 
 
 def fetched(urls: DataFrame, pages: DataFrame) -> DataFrame:
-    """url, html from a page cache; pages over ten million characters give TOO LARGE, unknown ones null."""
-    html = F.when(F.length("html") > TOO_LARGE, "TOO LARGE").otherwise(F.col("html"))
+    """url, html from a page cache; pages over ten million bytes give TOO LARGE, unknown ones null."""
+    html = F.when(F.octet_length("html") > TOO_LARGE, "TOO LARGE").otherwise(F.col("html"))
     return urls.join(pages.select("url", html.alias("html")).dropDuplicates(["url"]), "url", "left")
 
 
@@ -111,6 +109,7 @@ def widget_ids(html: Column) -> Column:
 def textual_label(doc: str = "doc") -> Column:
     """The textual rating of a raw document (VARIANT), whichever of the known shapes it has."""
     get = lambda p: F.expr(f"try_variant_get({doc}, '{p}', 'string')")
-    shapes = [f"{root}{tail}" for root in ("$.reviewRating", "$.properties.reviewRating") for tail in (".properties.alternateName", '.alternateName["@value"]', ".alternateName[0]", ".alternateName", "")]
+    roots = ["$.reviewRating.properties", "$.reviewRating", "$.properties.reviewRating.properties", "$.properties.reviewRating"]
+    shapes = [f"{root}{tail}" for root in roots for tail in ('.alternateName["@value"]', ".alternateName[0]", ".alternateName", "")]
     plain = lambda c: F.when(~F.startswith(c, F.lit("{")) & ~F.startswith(c, F.lit("[")) & (c != ""), c)
     return F.coalesce(*[plain(get(p)) for p in shapes])

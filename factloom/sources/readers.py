@@ -54,11 +54,27 @@ def positional_reviews(pages: DataFrame) -> DataFrame:
     )
 
 
-def spreadsheet_rows(rows: DataFrame) -> DataFrame:
-    """Cells of a spreadsheet feed (column `entry`, a JSON object): keys gsx$name to name, blanks cut."""
+def spreadsheet_cells(rows: DataFrame) -> DataFrame:
+    """place, cells of a spreadsheet feed (place, entry: a JSON object): keys gsx$name to name, blanks cut; a cell is a text
+    or an object with $t."""
     cells = F.from_json("entry", "map<string,string>")
     named = F.transform_keys(F.map_filter(cells, lambda k, v: F.startswith(k, F.lit("gsx$"))), lambda k, v: F.replace(F.regexp_replace(k, r"^gsx\$", ""), F.lit("."), F.lit("_")))
-    return rows.select(F.transform_values(named, lambda k, v: F.trim(v)).alias("cells"))
+    plain = lambda v: F.when(F.startswith(v, F.lit("{")), F.get_json_object(v, "$['$t']")).otherwise(v)
+    return rows.select("place", F.transform_values(named, lambda k, v: F.trim(plain(v))).alias("cells"))
+
+
+def spreadsheet_rows(rows: DataFrame) -> DataFrame:
+    """place, cells of all rows but the first, whose cells are the names that take the place of the keys."""
+    cells = spreadsheet_cells(rows)
+    first = cells.agg(F.min_by("cells", "place").alias("names"), F.min("place").alias("top"))
+    out = cells.crossJoin(F.broadcast(first)).where("place > top")  # one row
+    return out.select("place", F.transform_keys("cells", lambda k, v: F.coalesce(F.try_element_at(F.col("names"), k), k)).alias("cells"))
+
+
+def counted_by_link(occurrences: DataFrame) -> DataFrame:
+    """Rows of a topic feed with the number of rows that their link has."""
+    counts = occurrences.groupBy("link").agg(F.count("*").alias("n_of_link"))
+    return occurrences.join(counts, "link")
 
 
 def topic_feed(feed: DataFrame) -> DataFrame:
