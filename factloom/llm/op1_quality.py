@@ -9,7 +9,8 @@ few documents lie near the rest. The verdicts on hosts then go back to their doc
 * ordinary: a document that fails any rule goes.
 
 A document that fails a base rule goes on every host. Null and empty texts have no words and fail. A null source
-is a host of its own. Rows that repeat are measured each. Extra columns are left alone.
+is a host of its own. Rows that repeat are measured each. Very long texts are measured whole. A rate that equals a bound
+is neither over nor under it. Extra columns, of any name, are left alone.
 """
 
 from __future__ import annotations
@@ -155,19 +156,19 @@ def quality(docs: DataFrame, trust_rate: float = 0.05, reject_rate: float = 0.9)
 def kept_documents(docs: DataFrame, trust_rate: float = 0.05, reject_rate: float = 0.9) -> DataFrame:
     """The rows of docs that stay, with docs' own columns.
 
-    Texts are measured once more where they lie instead of being shuffled: first for the verdicts on hosts,
-    then for the document's own. Hosts with the ordinary verdict aren't joined at all; the others are a list
-    that Spark broadcasts when it is small by its own size check, and joins by salted key otherwise.
+    Texts are measured once, and written beside the outcome of the rules unless these leave no way to stay; the verdicts
+    on hosts are then made from the outcomes alone (a read of these columns). Hosts with the ordinary verdict aren't
+    joined at all; the others are a list that Spark broadcasts when it is small by its own size check, and joins by salted
+    key otherwise.
     """
-    verdicts = materialise(host_verdicts(measured(docs), trust_rate, reject_rate).where("verdict <> 'ordinary'").select("host", "verdict"), "verdicts")
-    names = docs.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     host = F.coalesce(F.col("source").cast("string"), F.lit("\x00null")).alias("host")
-    out = docs.select(row, host, F.xxhash64("doc_id").alias("salt"), measures(F.col("text")).alias("m")).select("row", "host", "salt", "m.*")
-    out = out.select("row", "host", "salt", *[rule.alias(f"fails_{name}") for name, rule in rules().items()])
-    # Nothing that these can't save takes part in the join.
-    broken = sum((F.col(f"fails_{name}").cast("int") for name in list(rules())[1:]), F.lit(0))
-    out = out.where(~F.col("fails_base_failed") & (broken <= 1)).withColumn("salt", F.pmod("salt", F.lit(SALTS)))
+    rows = docs.select(row, host, F.xxhash64("doc_id").alias("salt"), measures(F.col("text")).alias("m")).select("row", "host", "salt", "m.*")
+    flags = [F.col(f"fails_{name}") for name in rules()]
+    rows = rows.select("row", "host", F.pmod("salt", F.lit(SALTS)).alias("salt"), *[rule.alias(f"fails_{name}") for name, rule in rules().items()])
+    broken = sum((f.cast("int") for f in flags[1:]), F.lit(0))
+    rows = materialise(rows.withColumn("row", F.when(~flags[0] & (broken <= 1), F.col("row"))), "measured")
+    verdicts = materialise(host_verdicts(rows, trust_rate, reject_rate).where("verdict <> 'ordinary'").select("host", "verdict"), "verdicts")
     parts = verdicts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    out = out.join(parts, ["host", "salt"], "left").withColumn("verdict", F.coalesce("verdict", F.lit("ordinary")))
+    out = rows.where("row IS NOT NULL").join(parts, ["host", "salt"], "left").withColumn("verdict", F.coalesce("verdict", F.lit("ordinary")))
     return out.where(_kept()).select("row.*")
