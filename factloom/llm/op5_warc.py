@@ -4,9 +4,10 @@ Writing: each page is a record whose block is an HTTP message with its payload i
 Of records with equal payloads of at least `least` bytes, that with the largest page_id is the response and
 the others revisit it. A block longer than `segment_bytes` is cut: the first part is the record itself, the
 others are continuation records, all naming the origin record, their number and, in the last, the total
-length. Spark's text writer puts the records, ended by two line ends, into gzip files in the shared folder.
+length. Spark's text writer puts the records, ended by two line ends, into gzip files of a bounded number of records in the
+shared folder.
 
-Reading: each archive is walked by Content-Length. Whole records are decoded at once; segments are grouped by
+Reading: each archive is unpacked as a stream and walked by Content-Length, a record at a time. Whole records are decoded at once; segments are grouped by
 origin identifier, ordered by number, checked against the total length and the payload digest, and then
 decoded. Only segments move between tasks, and a group is one page's block.
 
@@ -17,12 +18,14 @@ own; among equal payloads all rows with the largest page_id are responses. Nulls
 from __future__ import annotations
 
 import hashlib
+import io
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.llm import sketch
 from factloom.llm.common import materialise, scratch_path, slices
 
 END = b"\r\n"
@@ -62,19 +65,24 @@ def record(fields: dict[str, object], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + head.encode() + b"Content-Length: %d\r\n\r\n" % len(block) + block
 
 
-def walk(archive: bytes):
-    """(fields, block) of each record."""
-    at = 0
-    while at < len(archive):
-        stop = archive.index(END + END, at) + 4
-        first, fields, _ = headers(archive[at:stop])
-        if first != b"WARC/1.1":
-            raise ValueError(f"no record starts at byte {at}")
-        end = stop + int(fields["content-length"])
-        if archive[end : end + 4] != END + END:
-            raise ValueError(f"the record before byte {end} has another length than it says")
-        yield fields, archive[stop:end]
-        at = end + 4
+def walk(archive):
+    """(fields, block) of each record of a stream, which is read one record at a time."""
+    while True:
+        first = archive.readline()
+        if not first:
+            return
+        if first != b"WARC/1.1\r\n":
+            raise ValueError("no record starts where one should")
+        fields = {}
+        while (line := archive.readline()) != END:
+            if not line.endswith(END):
+                raise ValueError("an archive ends within a record's fields")
+            name, value = line.decode().split(":", 1)
+            fields[name.lower()] = value.strip()
+        block = archive.read(int(fields["content-length"]))
+        if archive.read(4) != END + END:
+            raise ValueError("a record has another length than it says")
+        yield fields, block
 
 
 def page_records(page_id, url, payload: bytes, digest: str, target, record_id: str, segment_bytes: int, chunk_bytes: int) -> list[bytes]:
@@ -107,15 +115,22 @@ def finish(fields: dict[str, str], block: bytes) -> tuple:
     return page, len(payload), digest, "response", None
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 1000, segment_bytes: int = 16_384, chunk_bytes: int = 4096) -> None:
-    """Write pages(page_id, url, html) as gzip WARC files, one for each input partition (bounded by the scan)."""
+def write_archives(pages: DataFrame, path: str, least: int = 1000, segment_bytes: int = 16_384, chunk_bytes: int = 4096, file_records: int = 10_000) -> None:
+    """Write pages(page_id, url, html) as gzip WARC files of at most file_records records.
+
+    Pages that surely revisit none stay where they are; only the others are joined with what they may refer to.
+    """
     body = F.coalesce("html", F.lit("")).cast("binary")
     pages = pages.select("page_id", "url", body.alias("payload"))
     body = F.col("payload")
     keyed = pages.select("page_id", F.sha1(body).alias("digest"), F.octet_length(body).alias("size")).where((F.col("size") >= least) & F.col("page_id").isNotNull())
     copies = keyed.groupBy("digest", "size").agg(F.max("page_id").alias("target"), F.min("page_id").alias("least_id")).where("target <> least_id").drop("least_id")
     revisits = materialise(keyed.join(copies, ["digest", "size"]).where("page_id <> target").select("page_id", "digest", "target").distinct(), "revisits")
-    marked = pages.withColumn("digest", F.sha1(body)).join(revisits, ["page_id", "digest"], "left")
+    ids = revisits.select("page_id").distinct()
+    some, rest = sketch.parted(pages, "page_id", ids, ids.count())
+    marked = some.withColumn("digest", F.sha1(body)).join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "payload", "digest", "target")
+    if rest is not None:
+        marked = marked.unionByName(rest.select("page_id", "url", "payload", F.sha1(body).alias("digest"), F.lit(None).cast("long").alias("target")))
 
     def build(batches):
         part, row = TaskContext.get().partitionId(), 0
@@ -126,8 +141,8 @@ def write_archives(pages: DataFrame, path: str, least: int = 1000, segment_bytes
                 row += 1
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    records = marked.select("page_id", "url", "payload", "digest", "target").mapInArrow(build, "record binary")
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    records = marked.mapInArrow(build, "record binary")
+    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -141,7 +156,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             for content in batch["content"]:
                 rows: list[tuple] = []
                 size = 0
-                for fields, block in walk(gzip.decompress(content.as_py())):
+                for fields, block in walk(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer()))):
                     number = int(fields.get("warc-segment-number", 0))
                     origin = fields.get("warc-segment-origin-id", fields["warc-record-id"])
                     total = fields.get("warc-segment-total-length")
