@@ -135,7 +135,7 @@ on_reviews("latest_100", lambda cr: serving.latest(cr, AS_OF).select("review_id"
 
 @query
 def latest_10_with_page(spark, sf_dir):
-    return serving.latest_with_page(fixture.reviews(spark, sf_dir), fixture.table(spark, sf_dir, "pages"), AS_OF).select("review_id", "url", "title")
+    return serving.latest_with_page(fixture.reviews(spark, sf_dir), fixture.site_pages(spark, sf_dir), AS_OF).select("review_id", "url", "title")
 
 
 on_reviews("top50_domains", lambda cr: rv.labelled(cr).groupBy("domain").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "domain").limit(50))

@@ -198,7 +198,7 @@ SQL: dict[str, str] = {
         FROM o WHERE r = 1 AND last_date > '2024-01-10' AND (contains(lower(claim_reviewed || ' ' || url), 'the') OR contains(lower(claim_reviewed || ' ' || url), 'que'))""",
     "latest_100": f"WITH {CR} SELECT review_id, url, CAST(date_published AS VARCHAR) AS day FROM cr WHERE date_published <= DATE '2024-01-20' ORDER BY date_published DESC, review_id LIMIT 100",
     "latest_10_with_page": f"""WITH {CR}, l AS (SELECT * FROM cr WHERE date_published <= DATE '2024-01-20' ORDER BY date_published DESC, review_id LIMIT 100),
-        t AS (SELECT url, min(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title FROM pages WHERE regexp_extract(html, '<title>([^<]*)</title>', 1) <> '' GROUP BY url)
+        t AS (SELECT url, min(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title FROM pg WHERE regexp_extract(html, '<title>([^<]*)</title>', 1) <> '' GROUP BY url)
         SELECT review_id, l.url, title FROM l JOIN t ON l.url = t.url ORDER BY date_published DESC, review_id LIMIT 10""",
     "top50_domains": f"WITH {SCORED} SELECT domain, count(*) AS n FROM lab GROUP BY domain ORDER BY n DESC, domain LIMIT 50",
     "first100_per_checker": f"""WITH {SCORED}, o AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY date_published DESC NULLS LAST, url, review_id) AS place FROM lab)

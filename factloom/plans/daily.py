@@ -26,3 +26,18 @@ def tables(reviews: DataFrame, registry: DataFrame) -> dict[str, DataFrame]:
 
 def run(reviews: DataFrame, registry: DataFrame, path: str, date: str) -> None:
     store.write_snapshot(tables(reviews, registry), path, date)
+
+
+def main(args: list[str]) -> None:
+    """reviews registry target date: the job over saved tables, from the command line."""
+    from factloom.session import session
+
+    spark = session("daily")
+    reviews, registry, target, date = args
+    run(spark.read.parquet(reviews), spark.read.parquet(registry), target, date)
+
+
+if __name__ == "__main__":
+    import sys
+
+    main(sys.argv[1:])

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from factloom.functions.dates import day_of
 from factloom.functions.ratings import credibility_label
 from factloom.functions.tables import MICRODATA_DOMAINS, UNMARKED_DOMAINS
-from factloom.functions.urls import appearances, canonical, registered_domain
+from factloom.functions.urls import appearances, canonical, corrected, registered_domain
 from factloom.operators.relations import newest_by_key
-from factloom.sources.pages import fetched, jsonld, microdata, textual_label
+from factloom.sources.pages import fetched, jsonld, microdata, textual_label, widget_ids
 
 
 def _json(path: str, doc: str = "doc") -> str:
@@ -132,6 +132,19 @@ def retrieved(urls: DataFrame, pages: DataFrame) -> DataFrame:
     return finished(reviews_of(rows, asked="url"))
 
 
+def enriched(rows: DataFrame, pages: DataFrame) -> DataFrame:
+    """Labelled review rows and, after them, what the saved pages of their links (corrected where they are known to be
+    wrong) hold."""
+    asked = rows.select(corrected(F.col("url")).alias("url")).where("url IS NOT NULL").distinct()
+    return rows.unionByName(retrieved(asked, pages), allowMissingColumns=True)
+
+
+def shared_facts(pages: DataFrame) -> DataFrame:
+    """url and the address of each shared-fact widget that a saved page links to."""
+    ids = pages.select("url", F.explode(widget_ids(F.col("html"))).alias("id"))
+    return ids.select("url", F.concat(F.lit("https://www.sharethefacts.co/share/"), "id").alias("widget"))
+
+
 def csv_reviews(rows: DataFrame) -> DataFrame:
     """Review rows from a spreadsheet of fact-checks with these columns; words of the link cell that begin with http are
     its links, in canonical form."""
