@@ -305,6 +305,30 @@ def links_resolved(spark, sf_dir):
     return urls.resolved_links(asked, redirects, saved)
 
 
+@query
+def json_link_paths(spark, sf_dir):
+    """Paths that speak of links in the documents that raw_reviews reads."""
+    e = fixture.table(spark, sf_dir, "events")
+    doc = F.concat(F.lit('{"url":"u","itemReviewed":{"appearance":[{"url":"x"},"y"],"author":{"sameAs":["a","b"],"name":"n"}},"k":'), "props", F.lit("}"))
+    return relations.link_path_counts(e.select(doc.alias("doc")), "doc")
+
+
+@query
+def shared_facts(spark, sf_dir):
+    p = fixture.site_pages(spark, sf_dir)
+    n = F.col("page_id").cast("string")
+    html = F.concat("html", F.lit('<a href="https://www.sharethefacts.co/share/'), n, F.lit('/"></a><a href="http://sharethefacts.co/share/'), n, F.lit('?x"></a><a href="/share/1"></a>'))
+    return raw.shared_facts(p.select("url", html.alias("html")))
+
+
+@query
+def draws_to_repeat(spark, sf_dir):
+    """The mean number of draws to the first repeat among as many things as there are parts, to be near sqrt(pi n / 2)."""
+    n = fixture.table(spark, sf_dir, "part").count()
+    mean = relations.draws_to_repeat(spark, n, 2000).agg(F.avg("draws").alias("mean"))
+    return mean.select((F.abs(F.col("mean") / F.sqrt(F.lit(3.14159265 * n / 2)) - 1) < 0.1).alias("as_expected"))
+
+
 # Listings
 def _item(source: str) -> Column:
     """An article as the source's listing shows it, with the page's number as address and title."""

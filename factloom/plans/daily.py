@@ -7,17 +7,25 @@ from pyspark.sql import DataFrame
 from factloom.operators import relations, reviews as rv, serving, store
 
 
-def tables(reviews: DataFrame, registry: DataFrame) -> dict[str, DataFrame]:
-    """All tables of a day, lazily. Reviews of unknown fact-checkers take part in no table but the list of them."""
-    known = relations.with_registry(reviews, registry, "left_semi").drop("domain")
-    links = rv.link_table(known)
+def tables(reviews: DataFrame, registry: DataFrame, recollected: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All tables of a day, lazily: the eleven of the job, the statistics and the topic extract.
+
+    recollected: reviews collected again from the pages of registered fact-checkers; without them, theirs among `reviews`
+    take their place. Reviews of unknown fact-checkers take part in no table but the raw one and the list of them.
+    """
+    known = recollected if recollected is not None else relations.with_registry(reviews, registry.select("domain"), "left_semi").drop("domain")
+    links, bad = rv.link_table(known), rv.link_table(known, "not_credible")
     return {
-        "not_registered": relations.with_registry(reviews, registry, "left_anti").select("domain").distinct(),
+        "claim_reviews_raw": reviews.unionByName(known, allowMissingColumns=True),
+        "claim_reviews_raw_recollected": known,
+        "not_ifcn_sources": relations.with_registry(reviews, registry, "left_anti").select("domain").distinct(),
         "claim_reviews": rv.merged(known),
         "different_texts": rv.different_texts(known),
         "disagreeing_reviews": rv.disagreeing(known),
+        "links_not_credible": bad.select("misinforming_url"),
+        "links_not_credible_full": bad,
+        "links_all": links.select("misinforming_url"),
         "links_all_full": links,
-        "links_not_credible_full": rv.link_table(known, "not_credible"),
         "claim_labels_mapping": rv.label_mapping(known),
         "stats": rv.job_stats(reviews, registry),
         "topic": serving.topic_extract(links),

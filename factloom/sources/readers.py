@@ -93,3 +93,9 @@ def hoax_map(rows: DataFrame) -> DataFrame:
     debunks = doc.select(F.explode("d.debunks").alias("id", "f"))
     out = debunks.join(links, "id", "left")
     return out.select("id", F.get("f", 0).alias("title"), F.get("f", 1).alias("label"), F.get("f", 2).alias("motivation"), F.get("f", 3).alias("url"), F.coalesce("appearances", F.array().cast("array<string>")).alias("appearances"))
+
+
+def feed_links(occurrences: DataFrame) -> DataFrame:
+    """Distinct links of a topic feed's rows, of the topics and of their debunks."""
+    both = occurrences.select("link").union(occurrences.select("debunk_link"))
+    return both.where("link <> ''").distinct()

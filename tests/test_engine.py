@@ -133,6 +133,7 @@ def test_daily_snapshot(spark, tmp_path):
     stats = store.read_snapshot(spark, str(tmp_path), "stats").first()
     known = relations.with_registry(cr, reg, "left_semi")
     assert stats["raw_reviews"] == cr.count() + known.count() and stats["recollected_reviews"] == known.count()
+    assert store.read_snapshot(spark, str(tmp_path), "claim_reviews_raw").count() == stats["raw_reviews"]
     links = store.read_snapshot(spark, str(tmp_path), "links_all_full")
     assert links.count() == links.select("misinforming_url").distinct().count() > 0
 
@@ -149,6 +150,14 @@ def test_cursor_goes_round(spark):
     assert len(set(seen)) == min(5, expected)
 
 
+def test_sample_route(spark):
+    links = rv.link_table(fixture.reviews(spark, SF)).cache()
+    for cursor in (None, 10**9, 3):
+        row = serving.sample(links, "seed", cursor).first()
+        assert 0 <= row["current_cursor"] < links.count() and (cursor != 3 or row["current_cursor"] == 3)
+    assert serving.sample(links, "seed", 0, misinforming_domain="nowhere.org").count() == 0
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("url\ttext\nu1\tx\n")
     assert readers.read_tsv(spark, str(tmp_path / "a.tsv")).collect() == [("u1", "x")]
@@ -160,6 +169,7 @@ def test_readers(spark, tmp_path):
     assert [r["key"] for r in readers.bucket_keys(listing).collect()] == ["k1", "k2"]
     topic = spark.createDataFrame([('[{"disinfoLink":" http://x ","ocurrences":[{"date":"d","debunkLink":"l","debunkTitle":"a\\nb","factchecker":"f","country":{"name":"c"}}]},{"disinfoLink":"no","ocurrences":[{}]}]',)], "raw string")
     assert readers.topic_feed(topic).select("link", "title").collect() == [("http://x", "a\\nb")]
+    assert sorted(r["link"] for r in readers.feed_links(readers.topic_feed(topic)).collect()) == ["http://x", "l"]
     hoax = spark.createDataFrame([('{"hoaxes":{"u":"1"},"debunks":{"1":["t","Faux","m","d"],"2":["t2","Vrai","m","d"]}}',)], "raw string")
     assert {r["id"]: r["appearances"] for r in readers.hoax_map(hoax).collect()} == {"1": ["u"], "2": []}
     rows = spark.createDataFrame([(0, '{"gsx$a.b":{"$t":"Name"},"id":"x"}'), (1, '{"gsx$a.b":" 1 ","id":"x"}')], "place int, entry string")
