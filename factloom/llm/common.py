@@ -147,3 +147,5 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
             start = i
     if held:
         yield pa.Table.from_batches(held)
+    del held
+    released()

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import materialise
+from factloom.llm.common import materialise, released
 
 #: Edges that one task takes: some ten megabytes.
 SMALL = 300_000
@@ -53,6 +53,8 @@ def _finished(edges: DataFrame) -> DataFrame:
         if parts:
             nodes, roots = least_roots(*(np.concatenate(x) for x in zip(*parts, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], ["node", "to"])
+            del parts, nodes, roots
+            released()
 
     return edges.repartition(1).mapInArrow(solve, "node long, to long")
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.common import released
 from factloom.llm.textkernel import mix
 
 BLOCK_BITS = 16
@@ -71,6 +72,8 @@ def build(counts: DataFrame, n_keys: int, members: bool = False) -> Table:
                         held.setdefault(int(c[a]) >> BLOCK_BITS, []).append(entry[a:b].tobytes())
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([b"".join(x) for x in held.values()], pa.binary())], ["block", "entries"])
+        held.clear()
+        released()
 
     def dense(table: pa.Table) -> pa.Table:
         out = np.zeros(1 << BLOCK_BITS, np.uint8)
