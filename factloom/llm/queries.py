@@ -77,7 +77,32 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_toxicity, op4_token_counts, op5_warc, op6_packing, op7_line_dedup, op8_embedding_dedup, op9_suffix_dedup, op10_byte_bpe)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from factloom.llm.op11_filter_audit import filter_audit
+
+    return filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from factloom.llm.op12_chat_format import PLANTED, format_digests
+
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return format_digests(rows.unionByName(spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string")))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from factloom.llm.op13_alignment import alignment
+
+    return alignment(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+_OPERATORS = (
+    op1_quality_rules, op2_ngram_jaccard, op3_toxicity, op4_token_counts, op5_warc, op6_packing, op7_line_dedup, op8_embedding_dedup,
+    op9_suffix_dedup, op10_byte_bpe, op11_filter_audit, op12_chat_format, op13_token_alignment,
+)
+QUERIES: dict[str, Query] = {f.__name__: f for f in _OPERATORS}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": r"""
@@ -116,4 +141,36 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN t.target <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN t.target <> p.page_id THEN t.target END AS refers_to
         FROM p LEFT JOIN t ON p.body = t.body""",
+    "op11_filter_audit": r"""
+        WITH RECURSIVE t AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        f AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                   CASE WHEN len(words) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+                   || CASE WHEN 100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(text) THEN 'C' ELSE '' END
+                   || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+                   || CASE WHEN t.doc_id > min(t.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS failed
+            FROM t LEFT JOIN l ON t.doc_id = l.doc_id),
+        g AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, failed),
+        p AS (
+            SELECT '' AS o, 'ABCDE' AS rest UNION ALL
+            SELECT o || x, replace(rest, x, '') FROM (SELECT o, rest, unnest(string_split(rest, '')) AS x FROM p WHERE rest <> '')),
+        s AS (SELECT o AS filter_order, i AS step, o[i] AS x, o[1:i-1] AS before FROM p, range(1, 6) AS r(i) WHERE rest = ''),
+        m AS (
+            SELECT part, filter_order, step, x, contains(failed, x) AS fails, failed = x AS alone, n, good, toxic,
+                   translate(failed, before, '') <> failed AS gone
+            FROM g, s),
+        a AS (
+            SELECT part, filter_order, step, any_value(x) AS x,
+                   CAST(sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS BIGINT) AS kept,
+                   CAST(sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END) AS BIGINT) AS removed,
+                   CAST(sum(CASE WHEN gone AND fails THEN n ELSE 0 END) AS BIGINT) AS redundant,
+                   CAST(sum(CASE WHEN alone THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+                   CAST(sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+                   CAST(sum(CASE WHEN NOT gone AND fails THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+            FROM m GROUP BY part, filter_order, step)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+        FROM a""",
 }
