@@ -173,4 +173,16 @@ ORACLE_SQL: dict[str, str] = {
         SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
                CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
         FROM a""",
+    "op12_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, i, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(i, r)),
+        e AS (
+            SELECT *, length(regexp_replace(text, '([\[<])(\\*)(/?INST\]|/?ROLE\]|</?SYS>>|/?s>)', '\1\\\2\3', 'g')) AS chars,
+                   length(regexp_replace(role, '([\[<])(\\*)(/?INST\]|/?ROLE\]|</?SYS>>|/?s>)', '\1\\\2\3', 'g')) AS role_chars FROM c)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(chars + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 4 WHEN 'system' THEN 15 ELSE 17 + role_chars END) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id""",
 }
