@@ -7,7 +7,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.functions.tables import ARCHIVES, CORRECTED_URLS, SECOND_LEVELS, SHORTENERS, SUFFIXES, TRACKING_KEYS
+from factloom.functions import suffixes
+from factloom.functions.tables import ARCHIVES, CORRECTED_URLS, SHORTENERS, TRACKING_KEYS
 
 #: Characters that an escaped path or fragment keeps: printable ASCII without blank, % and #.
 SAFE = "".join(c for c in string.digits + string.ascii_letters + string.punctuation if c not in "%#")
@@ -117,22 +118,33 @@ def escaped(text: Column, rounds: int = 8) -> Column:
     return F.when(text.rlike("%|[^\x21-\x7e]"), bind(plain, coded)).otherwise(text)
 
 
-def registered_domain(url: Column, suffixes: list[str] | None = None) -> Column:
-    """Host down to the label under its public suffix; "" without one.
+def full_host(url: Column) -> Column:
+    """Host in lower case without user, port and dots at its end; the scheme may be missing."""
+    place = F.regexp_extract(F.trim(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return F.rtrim(F.translate(F.lower(place), "\u3002\uff0e\uff61", "..."), F.lit("."))
 
-    Public suffixes are the last label, and two labels where a country's domain has the usual second levels (a rule), or
-    where they are listed (SUFFIXES, or `suffixes`, for instance those of a public suffix file).
+
+def registered_domain(url: Column, rules: list[str] | None = None, private: bool = False) -> Column:
+    """Host down to the label above its longest public suffix, without a leading www; "" for a host without a suffix, for
+    one that is a suffix itself, for a number and for no link.
+
+    The rules are those of the list on this machine (suffixes.list_path; private: with those of blogs and hosters), or the
+    given ones, wildcards and exceptions included. Without a list a rule of usual second levels takes their place.
     """
-    listed = "|".join(s.replace(".", r"\.") for s in (SUFFIXES if suffixes is None else suffixes))
-    several = rf"(?:(?:{'|'.join(SECOND_LEVELS)})\.[a-z][a-z]" + (f"|{listed}" if listed else "") + ")"
+    path = suffixes.list_path()
+    known = suffixes.given(tuple(rules)) if rules is not None else suffixes.listed(path, private) if path else suffixes.usual_rules()
 
     def of(name: Column) -> Column:
-        long = F.regexp_extract(name, rf"([^.]+\.{several})$", 1)
-        short = F.regexp_extract(name, r"([^.]+\.[^.]+)$", 1)
-        bare = name.rlike(rf"^{several}$") | name.rlike(r"^[\d.]+$")
-        return F.when(long != "", long).when(bare, "").otherwise(short)
-
-    return F.when(url.isNull() | (url == ""), "").otherwise(bind(host(url), of))
+        parted = bind(F.regexp_replace(name, known.split, "$1|$2"), lambda x: F.when(F.contains(x, F.lit("|")) & ~F.startswith(x, F.lit("|")), F.replace(x, F.lit("|"))).otherwise(""))
+        found = parted
+        if known.exceptions:
+            excepted = F.regexp_extract(name, known.exceptions, 1)
+            found = F.when(excepted != "", excepted).otherwise(parted)
+        if known.common:
+            found = F.when(name.rlike(rf"\.(?:{'|'.join(known.common)})$"), F.regexp_extract(name, r"([^.]+\.[^.]+)$", 1)).otherwise(found)
+        return F.when(name.rlike(r"^[\d.]*$"), "").otherwise(F.regexp_replace(found, r"^www\.", ""))
+
+    return F.when(url.isNull() | (url == ""), "").otherwise(bind(full_host(url), of))
 
 
 def is_shortener(url: Column) -> Column:
