@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions import ratings, urls
 from factloom.functions.dates import day_of
-from factloom.operators import clustering, relations, serving, store, tweets
+from factloom.operators import clustering, links, relations, serving, store, tweets
 from factloom.operators import reviews as rv
 from factloom.oracle import SQL
 from factloom.sources import fixture, listings, pages as pg, raw_reviews as raw, readers
@@ -56,9 +56,34 @@ on_reviews("label_prefix_join", lambda cr: relations.prefix_labels(cr.sparkSessi
 on_table("url_canonical", "pages", lambda p: p.select("page_id", urls.canonical(link()).alias("canonical")))
 on_table("url_strip_tracking", "pages", lambda p: p.select("page_id", urls.clean_query(F.regexp_extract("url", urls.PARTS, 4)).alias("query")))
 on_table("url_host_domain", "pages", lambda p: p.select("page_id", urls.host(link()).alias("domain")))
-on_table("url_registered_domain", "pages", lambda p: p.select("page_id", urls.registered_domain(link()).alias("domain"), urls.is_shortener(link()).alias("shortener"), urls.is_archive(link()).alias("archive")))
+#: Ends of hosts, one for each page: suffixes of all kinds, shorteners, archives, a number and what is no suffix.
+HOST_ENDS = "com net co.uk gov.br kyoto.jp b.kyoto.jp kobe.jp x.kobe.jp city.kobe.jp k12.ca.us ca.us nhs.uk ck www.ck b.ck blogspot.com github.io qc.ca com.de sch.uk act.edu.au xn--p1ai 公司.cn nowhere.invalid bit.ly fb.me archive.org archive.is perma.cc s3.amazonaws.com 10.0.0.1 uk".split()
+
+
+def hosted() -> Column:
+    """Each page's link with the end of its host replaced by one of HOST_ENDS."""
+    end = F.element_at(F.array(*map(F.lit, HOST_ENDS)), (F.col("page_id") % len(HOST_ENDS)).cast("int") + 1)
+    return F.when(F.col("page_id") % len(HOST_ENDS) == HOST_ENDS.index("10.0.0.1"), F.concat(F.lit("http://"), end, F.lit("/"))).otherwise(F.regexp_replace(link(), r"example\.(?:com|net|org)", end))
+
+
+@query
+def url_registered_domain(spark, sf_dir):
+    p = fixture.table(spark, sf_dir, "pages")
+    url = hosted()
+    return p.select("page_id", urls.registered_domain(url).alias("domain"), urls.registered_domain(url, private=True).alias("with_private"), urls.is_shortener(url).alias("shortener"), urls.is_archive(url).alias("archive"))
+
+
+@query
+def registered_domain_counts(spark, sf_dir):
+    """Pages by domain, once as hosts and once as registered."""
+    p = fixture.table(spark, sf_dir, "pages").withColumn("url", hosted())
+    return p.groupBy(urls.registered_domain(link()).alias("domain")).agg(F.count("*").alias("n"), F.count_distinct(urls.host(link())).alias("hosts"))
+
+
+#: What may stand before a link: snapshots, a snapshot of a snapshot, a saved one, and two that are none.
+ARCHIVED = ["https://web.archive.org/web/2022/", "http://web.archive.org/web/1/http://web.archive.org/web/2/", "https://web.archive.org/save/", "https://archive.org/web/2022/", "https://web.archive.org/web/2022/x"]
 on_table("url_homepage_flag", "pages", lambda p: p.select("page_id", urls.path(link()).isin("", "/", "/permalink.php").alias("homepage")))
-on_table("url_archive_unwrap", "pages", lambda p: p.select("page_id", urls.unwrapped(F.concat(F.lit("https://web.archive.org/web/2022/"), F.replace(link(), F.lit("://"), F.lit(":/")))).alias("target")))
+on_table("url_archive_unwrap", "pages", lambda p: p.select("page_id", urls.unwrapped(F.concat(F.element_at(F.array(*map(F.lit, ARCHIVED)), (F.col("page_id") % len(ARCHIVED)).cast("int") + 1), F.replace(link(), F.lit("://"), F.lit(":/")))).alias("target")))
 on_table("tweet_ids", "documents", lambda d: d.select("doc_id", urls.status_id(F.concat(F.when(F.col("doc_id") % 3 == 0, "https://www.twitter.com/a/status/").otherwise("https://twitter.com/u_1/status/"), (F.col("doc_id") * 7919 + 1).cast("string"), F.lit("?s=1"))).alias("tweet_id")))
 on_reviews("appearances_split", lambda cr: cr.select("review_id", F.array_join(urls.split_appearances(F.array("appearance")), "|").alias("parts")))
 on_reviews("appearances_exploded", lambda cr: rv.review_links(cr).select("review_id", "link"))
@@ -301,8 +326,25 @@ def links_resolved(spark, sf_dir):
     n = F.col("page_id").cast("string")
     asked = p.select("page_id", F.when(kind == 0, F.concat(F.lit("http://bit.ly/"), n)).when(kind == 1, F.concat(F.lit("https://web.archive.org/web/2022/http://kept.org/"), n)).when(kind == 2, F.concat(F.lit("https://archive.is/"), n)).otherwise(F.concat(F.lit("http://Plain.ORG:80/"), n, F.lit("/"))).alias("url"))
     redirects = p.where(kind == 0).select(F.concat(F.lit("http://bit.ly/"), n).alias("url"), F.concat(F.lit("http://to.org/"), n).alias("to"))
-    saved = p.where(kind == 2).select(F.concat(F.lit("https://archive.is/"), n).alias("url"), F.concat(F.lit('<form id="search"><input type="text" name="q" value="http://of.org/'), n, F.lit('"></form>')).alias("html"))
-    return urls.resolved_links(asked, redirects, saved)
+    saved = p.where(kind == 2).select(F.concat(F.lit("https://archive.is/"), n).alias("url"), F.concat(F.lit('<form action="https://archive.is/search/" id="search"><input type="text" name="q" value="http://of.org/'), n, F.lit('"></form>')).alias("html"))
+    return links.resolved_links(asked, redirects, saved)
+
+
+@query
+def link_chains(spark, sf_dir):
+    """Links of one to nine redirects, of a cycle, and through three kinds of archives, to each page's own address."""
+    p = fixture.table(spark, sf_dir, "pages").select("page_id", "url")
+    n, kind = F.col("page_id").cast("string"), F.col("page_id") % 13
+    at = lambda i: F.concat(F.lit("http://bit.ly/"), n, F.lit("/"), i.cast("string"))
+    asked = F.when(kind == 11, F.concat(F.lit("https://archive.ph/"), n)).when(kind == 12, F.concat(F.lit("https://perma.cc/AB-"), n, F.lit("?type=image"))).otherwise(at(F.lit(0)))
+    hops = p.where(kind < 9).withColumn("i", F.explode(F.sequence(F.lit(0), kind.cast("int")))).select(at(F.col("i")).alias("url"), F.when(F.col("i") == kind, F.col("url")).otherwise(at(F.col("i") + 1)).alias("to"))
+    cycle = p.where(kind == 9).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(2)))).select(at(F.col("i")).alias("url"), at((F.col("i") + 1) % 3).alias("to"))
+    to_archive = p.where(kind == 10).select(at(F.lit(0)).alias("url"), F.concat(F.lit("https://web.archive.org/web/2022/http://t.co/"), n).alias("to"))
+    onward = p.where(kind >= 10).select(F.concat(F.lit("http://t.co/"), n).alias("url"), F.col("url").alias("to"))
+    form = F.concat(F.lit('<form action="https://archive.ph/search/" id="s"><input value="http://t.co/'), n, F.lit('" name="q"></form>'))
+    answer = F.concat(F.lit('{"guid":"AB-'), n, F.lit('","url":"http://t.co/'), n, F.lit('"}'))
+    saved = p.where(kind == 11).select(F.concat(F.lit("https://archive.ph/"), n).alias("url"), form.alias("html")).unionByName(p.where(kind == 12).select(F.concat(F.lit("https://perma.cc/api/v1/public/archives/AB-"), n, F.lit("/?format=json")).alias("url"), answer.alias("html")))
+    return links.resolved_links(p.select("page_id", asked.alias("url")), hops.unionByName(cycle).unionByName(to_archive).unionByName(onward), saved)
 
 
 @query
@@ -321,14 +363,6 @@ def shared_facts(spark, sf_dir):
     return raw.shared_facts(p.select("url", html.alias("html")))
 
 
-@query
-def draws_to_repeat(spark, sf_dir):
-    """The mean number of draws to the first repeat among as many things as there are parts, to be near sqrt(pi n / 2)."""
-    n = fixture.table(spark, sf_dir, "part").count()
-    mean = relations.draws_to_repeat(spark, n, 2000).agg(F.avg("draws").alias("mean"))
-    return mean.select((F.abs(F.col("mean") / F.sqrt(F.lit(3.14159265 * n / 2)) - 1) < 0.1).alias("as_expected"))
-
-
 # Listings
 def _item(source: str) -> Column:
     """An article as the source's listing shows it, with the page's number as address and title."""

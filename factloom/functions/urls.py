@@ -156,27 +156,21 @@ def is_archive(url: Column) -> Column:
 
 
 def unwrapped(url: Column) -> Column:
-    """The link that an archive.org snapshot is of; a slash lost after the scheme is put back."""
-    inner = F.regexp_extract(url, r"^https?://(?:web\.)?archive\.org/web/[^/]+/(.+)$", 1)
-    return F.when(inner == "", url).otherwise(F.regexp_replace(inner, "^(https?):/+", "$1://"))
-
-
-def form_target(html: Column) -> Column:
-    """The link that a snapshot page of the archive.today family names in its search form."""
-    return F.nullif(F.regexp_extract(html, r'(?is)<form[^>]*id="search"[^>]*>.*?<input[^>]*name="q"[^>]*value="([^"]*)"', 1), F.lit(""))
+    """What a link of web.archive.org is a snapshot of: its last http(s) link, with the slash put back that cleaning took.
 
+    Other links, and those of web.archive.org that hold no link, stay.
+    """
+    inner = F.regexp_extract(url, r"^https?://web\.archive\.org.*/(https?:/.*)", 1)
+    return F.when(inner == "", url).otherwise(F.regexp_replace(inner, "^(https?:)/(?!/)", "$1//"))
 
-def resolved_links(rows: DataFrame, redirects: DataFrame, pages: DataFrame, column: str = "url") -> DataFrame:
-    """rows with each link in its canonical form, or where a known redirect leads; else snapshots give way to what they
-    are of, by their address (archive.org) or by the saved page (url, html; the archive.today family); others stay.
 
-    Keys of redirects count up to their first thousand characters.
-    """
-    known = redirects.select(F.substring("url", 1, 1000).alias("_from"), F.col("to").alias("_to")).dropDuplicates(["_from"])
-    saved = pages.where(is_archive(F.col("url"))).select(canonical(F.col("url")).alias("_page"), form_target(F.col("html")).alias("_target")).where("_target IS NOT NULL").dropDuplicates(["_page"])
-    out = rows.withColumn("_own", canonical(F.col(column)))
-    out = out.join(known, out["_own"] == known["_from"], "left").join(saved, out["_own"] == saved["_page"], "left")
-    return out.withColumn(column, F.coalesce(F.col("_to"), F.col("_target"), unwrapped(F.col("_own")))).drop("_own", "_from", "_to", "_page", "_target")
+def form_target(html: Column, domain: Column) -> Column:
+    """The link that a saved snapshot page of the archive.today family names in the form that searches its domain, or null."""
+    action = F.concat(F.lit(r"(?is)<form\b[^>]*\baction\s*=\s*[\x22']https://"), F.replace(domain, F.lit("."), F.lit(r"\.")), F.lit(r"/search/[\x22'][^>]*>(.*?)(?:</form|$)"))
+    form = F.regexp_extract_all(html, action, F.lit(1))
+    field = F.regexp_extract(F.get(form, 0), r"(?is)<input\b((?:[^>\x22']|\x22[^\x22]*\x22|'[^']*')*)>", 1)
+    value = F.regexp_extract(field, r"(?is)\bvalue\s*=\s*(\x22[^\x22]*\x22|'[^']*'|[^\s>]+)", 1)
+    return F.nullif(F.replace(F.regexp_replace(value, "^[\\x22']|[\\x22']$", ""), F.lit("&amp;"), F.lit("&")), F.lit(""))
 
 
 def corrected(url: Column) -> Column:

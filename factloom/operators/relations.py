@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from factloom.functions.ratings import clean_label, label_prefixes
 from factloom.functions.urls import registered_domain
+from factloom.session import ship
 
 
 def with_registry(reviews: DataFrame, registry: DataFrame, how: str = "inner") -> DataFrame:
@@ -86,6 +87,7 @@ def _leaf_paths(rows: pd.Series) -> pd.Series:
 
 def json_path_counts(rows: DataFrame, column: str) -> DataFrame:
     """path, n of the leaves of JSON documents of any depth; what can't be parsed counts for nothing."""
+    ship(rows.sparkSession)
     return rows.select(F.explode(_leaf_paths(column)).alias("path")).groupBy("path").agg(F.count("*").alias("n"))
 
 
@@ -93,12 +95,3 @@ def link_path_counts(rows: DataFrame, column: str) -> DataFrame:
     """json_path_counts of paths whose last key speaks of links."""
     last = F.element_at(F.split("path", r"\."), -1)
     return json_path_counts(rows, column).where(last.rlike("url|appearance|sameAs"))
-
-
-def draws_to_repeat(spark, size: int, trials: int, seed: int = 0) -> DataFrame:
-    """trial, draws: how many draws with replacement from `size` things it takes to get one again, `trials` times over."""
-    most = int(12 * size**0.5) + 2  # a repeat that late is less likely than one in 10**30
-    draws = spark.range(trials).withColumnRenamed("id", "trial").select("trial", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("i"))
-    draws = draws.withColumn("thing", F.pmod(F.xxhash64("trial", "i", F.lit(seed)), F.lit(size)))
-    seen = F.row_number().over(Window.partitionBy("trial", "thing").orderBy("i"))
-    return draws.withColumn("seen", seen).where("seen = 2").groupBy("trial").agg(F.min("i").cast("long").alias("draws"))

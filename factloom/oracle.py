@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from factloom.functions.tables import LABEL_BOILERPLATE, LABEL_SCORES, LABELS, SECOND_LEVELS, SUFFIXES, TRACKING_KEYS
+from factloom.functions.suffixes import list_path
+from factloom.functions.tables import LABEL_BOILERPLATE, LABEL_SCORES, LABELS, TRACKING_KEYS
 
 P = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
@@ -20,10 +21,8 @@ def host(u: str) -> str:
 
 
 def domain(u: str) -> str:
-    listed = "|".join(x.replace(".", r"\.") for x in SUFFIXES)
-    several = rf"(?:(?:{'|'.join(SECOND_LEVELS)})\.[a-z][a-z]|{listed})"
-    name = host(u)
-    return rf"coalesce(nullif(regexp_extract({name}, '([^.]+\.{several})$', 1), ''), regexp_extract({name}, '([^.]+\.[^.]+)$', 1))"
+    """Registered domains of the review fixture, whose hosts have four endings only. The list itself is read by DOMAINS."""
+    return rf"regexp_extract({host(u)}, '([^.]+\.(?:gov\.br|com|net|org))$', 1)"
 
 
 def query(u: str) -> str:
@@ -85,11 +84,32 @@ raw AS (SELECT *, trim(unnest({SPLIT})) AS part FROM lab),
 raw_links AS (SELECT DISTINCT review_id, {canonical("part")} AS link FROM raw WHERE regexp_matches(part, '^https?://') AND {domain("part")} <> domain)"""
 REG = f"""reg AS (
     SELECT {domain("url")} AS domain, min(n_name) AS country FROM pg JOIN nation ON n_nationkey = page_id % 25 WHERE page_id % 7 < 4 GROUP BY 1)"""
-#: Claims of a page within five edits are one cluster: chains of such claims are short enough for Ward's heights here.
+
+
+def ward_rounds(points: str, distances: str, cut: float, rounds: int) -> str:
+    """CTEs that end in ward(g, id, c): Ward's clusters c (smallest id) of points(g, id), from distances(a, b, d2) of all pairs of a
+    group, both ways round. Each round joins the pairs of clusters that are nearest to each other, at a height up to the cut;
+    heights are taken anew from the squares of all distances between and within the two."""
+    out = [f"w0 AS (SELECT g, id, id AS c FROM {points})"]
+    for k in range(rounds):
+        out += [
+            f"t{k} AS MATERIALIZED (SELECT x.c AS c1, y.c AS c2, sum(d2) AS t FROM {distances} JOIN w{k} x ON x.id = a JOIN w{k} y ON y.id = b GROUP BY x.c, y.c)",
+            f"n{k} AS (SELECT c, count(*) AS n FROM w{k} GROUP BY c)",
+            f"i{k} AS (SELECT c, n, coalesce(t, 0) / (n * n) AS i FROM n{k} LEFT JOIN t{k} ON c1 = c AND c2 = c)",
+            f"h{k} AS MATERIALIZED (SELECT c1, c2, 2e0 * p.n * q.n / (p.n + q.n) * (t / (p.n * q.n) - p.i / 2 - q.i / 2) AS h FROM t{k} JOIN i{k} p ON p.c = c1 JOIN i{k} q ON q.c = c2 WHERE c1 <> c2)",
+            f"m{k} AS (SELECT c1, c2, h FROM (SELECT *, row_number() OVER (PARTITION BY c1 ORDER BY h, c2) AS r FROM h{k}) WHERE r = 1)",
+            f"j{k} AS (SELECT a.c1 AS c, least(a.c1, a.c2) AS c_new FROM m{k} a JOIN m{k} b ON a.c2 = b.c1 AND b.c2 = a.c1 WHERE a.h <= {cut * cut})",
+            f"w{k + 1} AS MATERIALIZED (SELECT g, id, coalesce(c_new, w{k}.c) AS c FROM w{k} LEFT JOIN j{k} ON j{k}.c = w{k}.c)",
+        ]
+    return ",\n".join([*out, f"ward AS (SELECT * FROM w{rounds})"])
+
+
+#: Clusters of a page's claims by Ward's heights; each review is a point, four of a page.
 CLUSTERS = f"""{RAW_LINKS},
-texts AS (SELECT url, trim(claim_reviewed) AS t, min(review_id) AS id FROM cr GROUP BY 1, 2),
-near AS (SELECT a.url, a.t, min(b.id) AS cluster FROM texts a JOIN texts b ON a.url = b.url AND abs(length(a.t) - length(b.t)) <= 5 AND levenshtein(a.t, b.t) <= 5 GROUP BY a.url, a.t),
-clusters AS (SELECT cr.url, cr.review_id, cluster FROM cr JOIN near ON near.url = cr.url AND near.t = trim(claim_reviewed))"""
+points AS (SELECT url AS g, review_id AS id, trim(claim_reviewed) AS t FROM cr),
+distances AS MATERIALIZED (SELECT x.id AS a, y.id AS b, CAST(levenshtein(x.t, y.t) AS DOUBLE) ** 2 AS d2 FROM points x JOIN points y ON x.g = y.g AND x.id <> y.id),
+{ward_rounds("points", "distances", 5, 4)},
+clusters AS (SELECT g AS url, id AS review_id, c AS cluster FROM ward)"""
 #: One row for each merged record and link, with the record's label and its first review.
 LINKS = f"""{CLUSTERS},
 placed AS (SELECT lab.*, cluster, row_number() OVER (PARTITION BY lab.url, cluster ORDER BY coalesce(CAST(date_published AS VARCHAR), '9999'), lab.review_id) AS place FROM lab JOIN clusters ON clusters.review_id = lab.review_id),
@@ -118,6 +138,23 @@ recollected AS (
 
 TWEETS = f"""{RAW_LINKS}, {REG}, t AS (SELECT *, review_id % 60 + 1 AS tweet_id FROM lab WHERE review_id % 2 = 0 AND domain IN (SELECT domain FROM reg))"""
 
+#: Hosts with one of the endings of catalog.HOST_ENDS, and their domains by the suffix file itself: of the rules that match a
+#: host's last k labels the longest, unless one is an exception. d holds page_id, host, domain and with_private.
+ENDS = "com net co.uk gov.br kyoto.jp b.kyoto.jp kobe.jp x.kobe.jp city.kobe.jp k12.ca.us ca.us nhs.uk ck www.ck b.ck blogspot.com github.io qc.ca com.de sch.uk act.edu.au xn--p1ai 公司.cn nowhere.invalid bit.ly fb.me archive.org archive.is perma.cc s3.amazonaws.com 10.0.0.1 uk".split()
+DOMAINS = rf"""
+lines AS (SELECT unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) AS i FROM read_text('{list_path()}')),
+rules AS (SELECT lower(split_part(trim(line), ' ', 1)) AS rule, i > (SELECT min(i) FROM lines WHERE contains(line, 'BEGIN PRIVATE DOMAINS')) AS private FROM lines WHERE trim(line) <> '' AND NOT starts_with(line, '//')),
+ends AS (SELECT page_id, url, [{", ".join(map(q, ENDS))}][page_id % {len(ENDS)} + 1] AS e FROM pages),
+hosts AS (SELECT page_id, CASE WHEN e = '10.0.0.1' THEN e ELSE lower(regexp_replace(regexp_extract(url, '^https?://([^/?#]*)', 1), 'example\.(com|net|org)$', e)) END AS host FROM ends),
+labels AS (SELECT page_id, host, string_split(replace(host, 'xn--p1ai', 'рф'), '.') AS l, string_split(host, '.') AS own FROM hosts),
+tails AS (SELECT page_id, k, array_to_string(l[len(l) - k + 1:], '.') AS tail, '*' || array_to_string(['']::VARCHAR[] || l[len(l) - k + 2:], '.') AS wild FROM labels, range(1, 9) AS r(k) WHERE k <= len(l)),
+hits AS (SELECT page_id, private, k - CAST(starts_with(rule, '!') AS INT) AS k, starts_with(rule, '!') AS excepted FROM tails JOIN rules ON rule = tail OR rule = '!' || tail OR rule = wild),
+longest AS (SELECT page_id, coalesce(max(k) FILTER (excepted AND NOT private), max(k) FILTER (NOT private), 0) AS public, coalesce(max(k) FILTER (excepted), max(k), 0) AS whole FROM hits GROUP BY page_id),
+d AS (SELECT labels.page_id, host,
+      CASE WHEN public BETWEEN 1 AND len(own) - 1 THEN regexp_replace(array_to_string(own[len(own) - public:], '.'), '^www\.', '') ELSE '' END AS domain,
+      CASE WHEN whole BETWEEN 1 AND len(own) - 1 THEN regexp_replace(array_to_string(own[len(own) - whole:], '.'), '^www\.', '') ELSE '' END AS with_private
+      FROM labels LEFT JOIN longest ON longest.page_id = labels.page_id)"""
+
 SQL: dict[str, str] = {
     "rating_label": f"WITH {SCORED} SELECT review_id, label FROM lab",
     "rating_score_textual": f"WITH {SCORED} SELECT review_id, simplified, text_score AS score FROM lab",
@@ -126,9 +163,8 @@ SQL: dict[str, str] = {
     "url_canonical": f"SELECT page_id, {canonical('url')} AS canonical FROM pages",
     "url_strip_tracking": f"SELECT page_id, {query('url')} AS query FROM pages",
     "url_host_domain": f"SELECT page_id, {host('url')} AS domain FROM pages",
-    "url_registered_domain": f"SELECT page_id, regexp_extract({host('url')}, '([^.]+\\.[^.]+)$', 1) AS domain, false AS shortener, false AS archive FROM pages",
     "url_homepage_flag": f"SELECT page_id, {part('url', 3)} IN ('', '/', '/permalink.php') AS homepage FROM pages",
-    "url_archive_unwrap": "SELECT page_id, url AS target FROM pages",
+    "url_archive_unwrap": """SELECT page_id, CASE page_id % 5 WHEN 3 THEN 'https://archive.org/web/2022/' || replace(url, '://', ':/') WHEN 4 THEN 'https://web.archive.org/web/2022/x' || replace(url, '://', ':/') ELSE url END AS target FROM pages""",
     "tweet_ids": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id * 7919 + 1 END AS tweet_id FROM documents",
     "appearances_split": f"""WITH {CR} SELECT review_id, array_to_string(list_filter(list_transform({SPLIT}, lambda x: trim(x)), lambda x: regexp_matches(x, '^https?://')), '|') AS parts FROM cr""",
     "appearances_exploded": f"WITH {RAW_LINKS} SELECT review_id, link FROM raw_links",
@@ -242,7 +278,6 @@ SQL: dict[str, str] = {
     "json_link_paths": """WITH n AS (SELECT count(*) AS n FROM events) SELECT 'url' AS path, n FROM n UNION ALL SELECT 'itemReviewed.appearance.url', n FROM n
         UNION ALL SELECT 'itemReviewed.appearance', n FROM n UNION ALL SELECT 'itemReviewed.author.sameAs', 2 * n FROM n""",
     "shared_facts": f"WITH {CR} SELECT url, 'https://www.sharethefacts.co/share/' || page_id AS widget FROM pg",
-    "draws_to_repeat": "SELECT true AS as_expected",
     "url_canonical_features": """SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http' ELSE 'https' END || '://Me@www.a' || page_id || '.org' || CASE page_id % 4 WHEN 2 THEN ':8080' ELSE '' END
         || '/a%20b/~uA/%C3%A9?e=&k=' || page_id || '&z=A+b#x%20y%23' AS canonical FROM pages""",
     "links_resolved": """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'http://to.org/' WHEN 1 THEN 'http://kept.org/' WHEN 2 THEN 'http://of.org/' ELSE 'http://plain.org/' END || page_id AS url FROM pages""",
@@ -261,6 +296,19 @@ SQL: dict[str, str] = {
             ("euvsdisinfo", "https://euvsdisinfo.eu/", "'T' || page_id", "'2024-02-03'", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"),
         ]
     },
+    "link_chains": """WITH RECURSIVE p AS (SELECT page_id, url, page_id % 13 AS kind, 'http://bit.ly/' || page_id || '/' AS short, 'http://t.co/' || page_id AS t FROM pages),
+        e AS (
+            SELECT short || i AS a, CASE WHEN i = kind THEN url ELSE short || (i + 1) END AS b FROM p, range(9) AS r(i) WHERE kind < 9 AND i <= kind
+            UNION ALL SELECT short || i, short || ((i + 1) % 3) FROM p, range(3) AS r(i) WHERE kind = 9
+            UNION ALL SELECT short || 0, 'https://web.archive.org/web/2022/' || t FROM p WHERE kind = 10
+            UNION ALL SELECT 'https://web.archive.org/web/2022/' || t, t FROM p WHERE kind = 10
+            UNION ALL SELECT t, url FROM p WHERE kind >= 10
+            UNION ALL SELECT 'https://archive.ph/' || page_id, t FROM p WHERE kind = 11
+            UNION ALL SELECT 'https://perma.cc/AB-' || page_id || '?type=image', t FROM p WHERE kind = 12),
+        w AS (
+            SELECT page_id, CASE kind WHEN 11 THEN 'https://archive.ph/' || page_id WHEN 12 THEN 'https://perma.cc/AB-' || page_id || '?type=image' ELSE short || 0 END AS cur, 0 AS n FROM p
+            UNION ALL SELECT page_id, b, n + 1 FROM w JOIN e ON a = cur WHERE n < 12)
+        SELECT page_id, coalesce(min(cur) FILTER (cur NOT IN (SELECT a FROM e)), min(cur) FILTER (n = 0)) AS url FROM w GROUP BY page_id""",
     "listing_until_known": """WITH m AS (SELECT floor(max(page_id) / 2) AS m FROM pages) SELECT page_id, url FROM pages, m WHERE page_id < m AND page_id % 4 <> 1""",
     "topic_recent": f"WITH {LINKS} SELECT link AS misinforming_url, max(coalesce(CAST(date_published AS VARCHAR), '0')) AS last_date FROM links GROUP BY link HAVING max(coalesce(CAST(date_published AS VARCHAR), '0')) > '2024-01-20'",
     "page_article": "SELECT page_id, nullif(trim(regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1)), '') AS title, nullif(regexp_extract(html, '<meta[^>]*name=\"description\"[^>]*content=\"([^\"]*)\"', 1), '') AS description FROM pages",
@@ -275,9 +323,18 @@ SQL: dict[str, str] = {
                (SELECT count(*) FROM lab WHERE review_id % 2 = 1 AND domain IN (SELECT domain FROM reg)) AS reviews_without_tweet FROM g""",
     "tweet_labels": f"""WITH {TWEETS} SELECT label, string_agg(DISTINCT coalesce(alternate_name, ''), '|' ORDER BY coalesce(alternate_name, '')) AS original_labels FROM t GROUP BY label""",
     "embedding_pairs": "SELECT a.vec_id AS i, b.vec_id AS j FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_distance(a.embedding, b.embedding) < 1.15",
+    "embedding_clusters": f"""WITH distances AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) ** 2)) AS d2
+            FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id),
+        points AS (SELECT label AS g, vec_id AS id FROM embeddings), {ward_rounds("points", "distances", 1.15, 6)}
+        SELECT id AS vec_id, c AS cluster FROM ward WHERE c IN (SELECT c FROM ward GROUP BY c HAVING count(*) > 1)""",
     "events_tumbling": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "events_session": """WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
         s AS (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g),
         c AS (SELECT user_id, s, count(*) AS n FROM s GROUP BY user_id, s)
         SELECT user_id, count(*) AS n_sessions, max(n) AS longest FROM c GROUP BY user_id""",
 }
+if list_path():
+    SQL |= {
+        "url_registered_domain": f"""WITH {DOMAINS} SELECT page_id, domain, with_private, domain IN ('bit.ly', 'fb.me') AS shortener, domain IN ('archive.org', 'archive.is', 'perma.cc') AS archive FROM d""",
+        "registered_domain_counts": f"""WITH {DOMAINS} SELECT domain, count(*) AS n, count(DISTINCT regexp_replace(host, '^www\\.', '')) AS hosts FROM d GROUP BY domain""",
+    }

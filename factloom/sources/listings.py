@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from factloom.functions.dates import day_of
 from factloom.functions.markup import parsed, select
 from factloom.functions.ratings import simplified_label
+from factloom.session import ship
 
 FIELDS = ["url", "title", "subtitle", "claim", "author", "original_label", "date", "country"]
 ROWS = "source string, number long, place long, next string, " + ", ".join(f"{f} string" for f in FIELDS)
@@ -77,6 +78,7 @@ def listing_rows(pages: DataFrame) -> DataFrame:
                     out += [{"source": source, "number": number, "place": i, "next": onward} | r for i, r in enumerate(rows)]
             yield pa.RecordBatch.from_pylist(out, schema)
 
+    ship(pages.sparkSession)
     return pages.select("source", F.col("number").cast("long").alias("number"), "html").mapInArrow(work, ROWS)
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
+from factloom.session import ship
+
 TOO_LARGE = 10_000_000
 
 
@@ -97,6 +99,7 @@ def _microdata(html: pd.Series) -> pd.Series:
 
 def microdata(pages: DataFrame) -> DataFrame:
     """url, properties (map) of pages with a ClaimReview item; several items become one."""
+    ship(pages.sparkSession)
     marked = pages.where(F.contains("html", F.lit("ClaimReview")) & F.contains("html", F.lit("itemscope")))
     return marked.select("url", _microdata("html").alias("properties")).where("properties IS NOT NULL")
 
