@@ -29,6 +29,21 @@ def on_reviews(name: str, f: Callable[[DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: f(fixture.reviews(spark, sf_dir))
 
 
+_records: dict[tuple[str, str], DataFrame] = {}
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged records of the reviews, written once a session and folder: all link tables are made of them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _records:
+        _records[key] = rv.records(fixture.reviews(spark, sf_dir))
+    return _records[key]
+
+
+def on_records(name: str, f: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: f(records(spark, sf_dir))
+
+
 def on_both(name: str, f: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: f(fixture.reviews(spark, sf_dir), fixture.registry(spark, sf_dir))
 
@@ -123,38 +138,45 @@ on_both("country_distribution", relations.country_distribution)
 on_reviews("reviews_by_url", lambda cr: cr.groupBy("url").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list(F.lpad(F.col("review_id").cast("string"), 12, "0"))), ",").alias("reviews")))
 on_reviews("unique_urls_by_source", lambda cr: cr.groupBy("retrieved_by").agg(F.count_distinct("url").alias("n_urls")))
 on_reviews("claim_clusters", clustering.claim_clusters)
-on_reviews("different_texts", rv.different_texts)
-on_reviews("merged_reviews", lambda cr: rv.merged(cr).select("url", "cluster", "domain", "label", F.size("claim_text").cast("long").alias("n_texts"), F.array_join("appearances", "|").alias("links"), F.size("reviews").cast("long").alias("n_reviews")))
-on_reviews("link_conflicts", rv.link_conflicts)
-on_reviews("disagreeing_links", rv.disagreeing)
+on_records("different_texts", lambda cr: rv.different_texts(cr).select("url", "cluster", "n_clusters", F.array_join("claim_text", "|").alias("texts")))
+on_records("disagreeing_records", lambda cr: rv.disagreeing_records(cr).select("link", "url", "cluster", "domain", "label", F.array_join("claim_text", "|").alias("texts"), F.array_join(F.transform("reviews", lambda r: r["review_id"].cast("string")), ",").alias("reviews")))
+on_records("merged_reviews", lambda cr: cr.select("url", "cluster", "domain", "label", F.size("claim_text").cast("long").alias("n_texts"), F.array_join("appearances", "|").alias("links"), F.size("reviews").cast("long").alias("n_reviews")))
+on_records("link_conflicts", rv.link_conflicts)
+on_records("disagreeing_links", rv.disagreeing)
 
 
 def _flat(links: DataFrame) -> DataFrame:
     ids = F.array_join(F.transform("reviews", lambda r: r["review_id"].cast("string")), ",")
-    return links.select("misinforming_url", "misinforming_domain", F.size("reviews").cast("long").alias("n_reviews"), ids.alias("reviews"))
+    return links.select("misinforming_url", "misinforming_domain", F.size("reviews").cast("long").alias("n_reviews"), ids.alias("reviews"), F.array_join(F.flatten(F.transform("reviews", lambda r: r["claim_text"])), "|").alias("claims"))
 
 
-on_reviews("links_all", lambda cr: _flat(rv.link_table(cr)))
-on_reviews("links_not_credible_full", lambda cr: _flat(rv.link_table(cr, "not_credible")))
-on_reviews("links_not_credible", lambda cr: rv.links_of(cr).where("label = 'not_credible'").select("link").distinct())
-on_reviews("multi_reviewed_links", rv.multi_reviewed)
-on_reviews("wide_reviews", rv.wide_reviews)
-on_reviews("first_review_per_link", rv.first_review)
+on_records("links_all", lambda cr: _flat(rv.link_table(cr)))
+on_records("links_not_credible_full", lambda cr: _flat(rv.link_table(cr, "not_credible")))
+on_records("links_not_credible", lambda cr: rv.links_of(cr).where("label = 'not_credible'").select("link").distinct())
+on_records("multi_reviewed_links", rv.multi_reviewed)
+on_records("wide_reviews", rv.wide_reviews)
+on_records("first_review_per_link", rv.first_review)
 on_reviews("label_mapping", rv.label_mapping)
 on_reviews("count_by_domain_label_top100", lambda cr: rv.labelled(cr).groupBy("domain", "label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "domain", "label").limit(100))
 on_reviews("label_histogram", lambda cr: rv.labelled(cr).groupBy("label").agg(F.count("*").alias("n")))
 on_reviews("date_histogram", lambda cr: cr.groupBy(F.col("date_published").cast("string").alias("day")).agg(F.count("*").alias("n")))
-on_both("job_stats", rv.job_stats)
+def _counters(stats: DataFrame) -> DataFrame:
+    """The counters, with the comparison by domain as text."""
+    return stats.withColumn("recollection_stats", F.array_join(F.transform("recollection_stats", lambda r: F.concat_ws(":", r["domain"], r["before"], r["after"])), ","))
+
+
+on_both("job_stats", lambda cr, r: _counters(rv.job_stats(cr, r)))
+on_both("job_stats_recollected", lambda cr, r: _counters(rv.job_stats(cr, r, relations.with_registry(cr.where("review_id % 3 <> 0"), r, "left_semi").drop("domain"))))
 on_reviews("agree_by_domain", lambda cr: relations.agreeing(rv.labelled(cr), "domain"))
 on_reviews("aggregate_agree", lambda cr: relations.agreeing(rv.labelled(cr), "url"))
 on_reviews("labels_per_author", lambda cr: rv.labelled(cr).groupBy("retrieved_by").agg(F.count_distinct("label").alias("n_labels")))
 on_table("json_path_counts", "events", lambda e: relations.json_path_counts(e, "props"))
 
 # Service
-on_reviews("filter_satisfy", lambda cr: rv.link_table(cr).where(serving.satisfies(since="2019-01-01")).select("misinforming_url"))
-on_reviews("filter_since_until", lambda cr: rv.link_table(cr).where(serving.satisfies(since="2024-01-15", until="2024-01-15", exclude=())).select("misinforming_url"))
+on_records("filter_satisfy", lambda cr: rv.link_table(cr).where(serving.satisfies(since="2019-01-01")).select("misinforming_url"))
+on_records("filter_since_until", lambda cr: rv.link_table(cr).where(serving.satisfies(since="2024-01-15", until="2024-01-15", exclude=())).select("misinforming_url"))
 on_reviews("snapshot_range", lambda cr: serving.snapshots(cr.select(F.date_format("date_published", "yyyy_MM_dd").alias("date")).where("date IS NOT NULL").distinct(), "2024_01_10", "2024_01_20"))
-on_reviews("topic_extract", lambda cr: serving.topic_extract(rv.link_table(cr), words=["the", "que"], after="2024-01-10"))
+on_records("topic_extract", lambda cr: serving.topic_extract(rv.link_table(cr), words=["the", "que"], after="2024-01-10"))
 on_reviews("latest_100", lambda cr: serving.latest(cr, AS_OF).select("review_id", "url", F.col("date_published").cast("string").alias("day")))
 
 
@@ -166,7 +188,7 @@ def latest_10_with_page(spark, sf_dir):
 on_reviews("top50_domains", lambda cr: rv.labelled(cr).groupBy("domain").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "domain").limit(50))
 on_reviews("first100_per_checker", lambda cr: serving.first_per_checker(cr).select("domain", "review_id", F.col("place").cast("long").alias("place")))
 on_reviews("dedupe_last_wins", lambda cr: relations.newest_by_key(cr, "url", "review_id").select("url", "review_id"))
-on_reviews("cursor_sample", lambda cr: serving.cursor_sample(rv.link_table(cr), serving.satisfies(since="2024-01-20", exclude=()), "seed", 17))
+on_records("cursor_sample", lambda cr: serving.cursor_sample(rv.link_table(cr), serving.satisfies(since="2024-01-20", exclude=()), "seed", 17))
 
 # Sets and the store
 on_reviews("union_sources", lambda cr: cr.where("k = 0").select("review_id", "url").unionByName(cr.where("k < 2").select("review_id", "url")))
@@ -440,12 +462,12 @@ def tweet_labels(spark, sf_dir):
 
 
 # More of the service
-on_reviews("topic_recent", lambda cr: serving.topic_recent(rv.link_table(cr), "2024-01-20").select("misinforming_url", "last_date"))
+on_records("topic_recent", lambda cr: serving.topic_recent(rv.link_table(cr), "2024-01-20").select("misinforming_url", "last_date"))
 on_table("page_article", "pages", lambda p: p.select("page_id", serving.article(F.col("html")).alias("a")).select("page_id", "a.title", "a.description"))
-on_reviews("check_me_excluded", lambda cr: rv.merged(cr).where("label <> 'check_me'").groupBy(F.translate("label", "_", " ").alias("label")).agg(F.count("*").alias("n")))
+on_records("check_me_excluded", lambda cr: cr.where("label <> 'check_me'").groupBy(F.translate("label", "_", " ").alias("label")).agg(F.count("*").alias("n")))
 on_both("recollection_percent", lambda cr, r: relations.recollection(cr, cr.where("review_id % 3 <> 0"), r).select("domain", F.round(100 * F.col("ratio"), 4).alias("percent")))
 on_reviews("stale_snapshots", lambda cr: store.stale_dates(cr.select(F.date_format("date_published", "yyyy_MM_dd").alias("date")).where("date IS NOT NULL").distinct(), "2024_01_20"))
-on_reviews("wide_claims", lambda cr: rv.merged(cr).where(F.size("claim_text") > 0).select("url", "cluster", F.get("claim_text", 0).alias("text")))
+on_records("wide_claims", lambda cr: cr.where(F.size("claim_text") > 0).select("url", "cluster", F.get("claim_text", 0).alias("text")))
 
 
 @query

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from factloom.functions.ratings import credibility_label
 from factloom.functions.urls import appearances, registered_domain
 from factloom.operators.clustering import claim_clusters
+from factloom.operators.relations import recollection
+from factloom.operators.scratch import kept
 
 #: "First" among reviews: by date, those without one last, then by number.
 FIRST = ("date_published", "review_id")
@@ -24,12 +26,22 @@ def review_links(reviews: DataFrame) -> DataFrame:
     return labelled(reviews).withColumn("link", F.explode(links))
 
 
-def links_of(reviews: DataFrame) -> DataFrame:
-    """One row for each merged record and link: link, url, cluster, domain, label (of the record) and, of the record's
-    first review, review_id, claim_reviewed, alternate_name, date_published."""
+def records(reviews: DataFrame) -> DataFrame:
+    """merged(reviews), written once for all tables that are made of it."""
+    return kept(merged(reviews), "records")
+
+
+def as_records(rows: DataFrame) -> DataFrame:
+    """Merged records as they are; single reviews are merged first."""
+    return rows if "appearances" in rows.columns else merged(rows)
+
+
+def links_of(rows: DataFrame) -> DataFrame:
+    """One row for each merged record and link: link, url, cluster, domain, label and claim_text (all texts) of the record and,
+    of its first review, review_id, claim_reviewed, alternate_name, date_published, retrieved_by. rows: reviews or records."""
     first = F.get("reviews", 0)
-    out = merged(reviews).withColumn("link", F.explode("appearances"))
-    return out.select("link", "url", "cluster", "domain", "label", *[first[c].alias(c) for c in ("review_id", "claim_reviewed", "alternate_name", "date_published", "retrieved_by")])
+    out = as_records(rows).withColumn("link", F.explode("appearances"))
+    return out.select("link", "url", "cluster", "domain", "label", "claim_text", *[first[c].alias(c) for c in ("review_id", "claim_reviewed", "alternate_name", "date_published", "retrieved_by")])
 
 
 def verdict(label: Column) -> Column:
@@ -55,10 +67,11 @@ def merged(reviews: DataFrame) -> DataFrame:
     return out
 
 
-def different_texts(reviews: DataFrame) -> DataFrame:
-    """url, n_clusters, n_texts of pages whose claims fall into several clusters."""
-    rows = claim_clusters(reviews).join(reviews.select("review_id", F.trim("claim_reviewed").alias("text")), "review_id")
-    return rows.groupBy("url").agg(F.count_distinct("cluster").alias("n_clusters"), F.count_distinct("text").alias("n_texts")).where("n_clusters > 1")
+def different_texts(rows: DataFrame) -> DataFrame:
+    """url, cluster, claim_text, n_clusters of the records of pages whose claims fall into several clusters."""
+    merged_rows = as_records(rows).select("url", "cluster", "claim_text")
+    several = merged_rows.groupBy("url").agg(F.count("*").alias("n_clusters")).where("n_clusters > 1")
+    return merged_rows.join(several, "url")
 
 
 def link_conflicts(reviews: DataFrame) -> DataFrame:
@@ -70,11 +83,18 @@ def disagreeing(reviews: DataFrame) -> DataFrame:
     return link_conflicts(reviews).where("n_labels > 1")
 
 
+def disagreeing_records(rows: DataFrame) -> DataFrame:
+    """link, and the whole record of each review of links whose records have several labels; a row for each link and record."""
+    links = as_records(rows).withColumn("link", F.explode("appearances"))
+    several = links.groupBy("link").agg(F.count_distinct("label").alias("n")).where("n > 1").select("link")
+    return links.join(several, "link")
+
+
 def link_table(reviews: DataFrame, only: str | None = None) -> DataFrame:
     """misinforming_url, misinforming_domain and the reviews of each link, in order; only: of one label."""
     rows = links_of(reviews)
     rows = rows.where(F.col("label") == only) if only else rows
-    review = F.struct(F.coalesce(F.col("date_published").cast("string"), F.lit("9999")).alias("sort"), "review_id", "label", F.col("url").alias("review_url"), "claim_reviewed", "domain", "alternate_name", "date_published")
+    review = F.struct(F.coalesce(F.col("date_published").cast("string"), F.lit("9999")).alias("sort"), "review_id", "label", F.col("url").alias("review_url"), "claim_reviewed", "claim_text", "domain", "alternate_name", "date_published")
     out = rows.groupBy(F.col("link").alias("misinforming_url")).agg(F.array_sort(F.collect_list(review)).alias("reviews"))
     return out.withColumn("misinforming_domain", registered_domain(F.col("misinforming_url")))
 
@@ -90,11 +110,12 @@ def wide_reviews(reviews: DataFrame, least: int = 3) -> DataFrame:
 
     There are columns for as many domains as any link has, and for `least` at least.
     """
-    last = links_of(reviews).groupBy("link", "domain").agg(F.max_by(F.struct("url", "label", "alternate_name"), "review_id").alias("r"))
+    links = kept(links_of(reviews).select("link", "domain", "url", "label", "alternate_name", "review_id"), "links")
+    last = links.groupBy("link", "domain").agg(F.max_by(F.struct("url", "label", "alternate_name"), "review_id").alias("r"))
     place = F.row_number().over(Window.partitionBy("link").orderBy("domain")) - 1
     count = F.count("*").over(Window.partitionBy("link"))
     rows = last.withColumn("i", place).withColumn("n", count).where("n > 1")
-    widest = links_of(reviews).groupBy("link").agg(F.count_distinct("domain").alias("n")).agg(F.max("n")).first()[0]
+    widest = links.groupBy("link").agg(F.count_distinct("domain").alias("n")).agg(F.max("n")).first()[0]
     pick = lambda i, c: F.max(F.when(F.col("i") == i, F.col(c)))
     cols = [pick(i, c).alias(f"{name}_{i}") for i in range(max(least, widest or 0)) for c, name in (("domain", "review_domain"), ("r.url", "review_url"), ("r.label", "label"), ("r.alternate_name", "original_label"))]
     return rows.groupBy("link").agg(F.count("*").alias("n_domains"), *cols)
@@ -115,25 +136,30 @@ def label_mapping(reviews: DataFrame) -> DataFrame:
     return counts.join(domains, "original_label").orderBy(F.desc("n"), "label", "original_label")
 
 
-def job_stats(reviews: DataFrame, registry: DataFrame) -> DataFrame:
-    """One row of the job's counters. Reviews of registered fact-checkers are those collected again, and are merged;
-    they count twice among the raw ones, as they are listed again."""
-    rows = labelled(reviews).join(registry.select("domain", F.lit(1).alias("member")), "domain", "left")
-    is_known = F.col("member").isNotNull()
+def job_stats(reviews: DataFrame, registry: DataFrame, known: DataFrame | None = None, made_of: DataFrame | None = None) -> DataFrame:
+    """One row of the job's counters, and recollection: domain, before, after, ratio of each registered domain with reviews.
+
+    known: the reviews collected again from registered fact-checkers' pages, which are merged; without them, theirs among
+    `reviews` are taken. They count among the raw ones too. made_of: the records that known was merged into, if they are there.
+    """
+    members = registry.select("domain", F.lit(1).alias("member")).distinct()
+    rows = reviews.withColumn("domain", registered_domain(F.col("url"))).join(members, "domain", "left")
+    known = rows.where("member IS NOT NULL").select(*reviews.columns) if known is None else known
+    unknown = F.col("member").isNull()
     base = rows.agg(
-        (F.count("*") + F.count_if(is_known)).alias("raw_reviews"),
-        F.count_if(is_known).alias("recollected_reviews"),
-        F.count_distinct(F.when(~is_known, F.col("url"))).alias("urls_not_registered"),
-        F.count_distinct(F.when(~is_known, F.col("domain"))).alias("domains_not_registered"),
-        F.count_distinct(F.when(is_known, F.col("url"))).alias("review_urls"),
+        F.count("*").alias("raw"),
+        F.count_distinct(F.when(unknown, F.col("url"))).alias("urls_not_registered"),
+        F.count_distinct(F.when(unknown, F.col("domain"))).alias("domains_not_registered"),
     )
-    known = rows.where(is_known).drop("member", "domain", "label")
-    records = merged(known).select("url", "cluster", "label", F.explode_outer("appearances").alias("link"))
+    again = known.agg(F.count("*").alias("recollected_reviews"), F.count_distinct("url").alias("review_urls"))
+    single = (merged(known) if made_of is None else made_of).select("url", "cluster", "label", F.explode_outer("appearances").alias("link"))
     record = F.struct("url", "cluster")
-    made = records.agg(
+    made = single.agg(
         F.count_distinct(record).alias("merged_reviews"),
         F.count_distinct("link").alias("unique_appearances"),
         F.count_distinct(F.when(F.col("label") == "check_me", record)).alias("not_matching_labels"),
         F.count_distinct(F.when(F.col("label") == "not_credible", F.col("link"))).alias("links_not_credible"),
     )
-    return base.crossJoin(made).crossJoin(registry.agg(F.count_distinct("domain").alias("registered_domains")))  # one row each
+    compared = recollection(reviews, known, registry).agg(F.array_sort(F.collect_list(F.struct("domain", "before", "after", "ratio"))).alias("recollection_stats"))  # as many as are registered
+    out = base.crossJoin(again).crossJoin(made).crossJoin(registry.agg(F.count_distinct("domain").alias("registered_domains"))).crossJoin(compared)  # one row each
+    return out.withColumn("raw_reviews", F.col("raw") + F.col("recollected_reviews")).drop("raw")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,16 +32,31 @@ def upserted(stored: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def write_snapshot(tables: dict[str, DataFrame], path: str, date: str) -> None:
-    """Write each table as the partition snapshot_date=date of its own folder."""
+    """Write all tables of a date into a folder of their own, then one index entry that names it.
+
+    Readers go by the index, whose entries are added and never changed. So a snapshot is there with all its tables or not at all,
+    one that is being written again is read in its old form meanwhile, and what a job that died has left behind is not seen.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    version = f"{path}/versions/{date}-{uuid.uuid4().hex}"
     for name, rows in tables.items():
-        rows.write.mode("overwrite").parquet(f"{path}/{name}/snapshot_date={date}")
+        rows.write.parquet(f"{version}/{name}")
+    files = [(name, f"{version}/{name}") for name in tables]
+    entry = spark.createDataFrame([(date, dict(files))], "date string, files map<string, string>").withColumn("written", F.current_timestamp())
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/index")
+
+
+def snapshot_index(spark: SparkSession, path: str) -> DataFrame:
+    """date, files (name to folder), written: of each date the last entry, and the latest date's under `latest` too."""
+    entries = spark.read.parquet(f"{path}/index")
+    last = entries.groupBy("date").agg(F.max_by(F.struct("files", "written"), "written").alias("e")).select("date", "e.files", "e.written")
+    newest = last.orderBy(F.desc("date")).limit(1).withColumn("date", F.lit("latest"))
+    return last.unionByName(newest)
 
 
 def read_snapshot(spark: SparkSession, path: str, name: str, date: str = "latest") -> DataFrame:
-    rows = spark.read.parquet(f"{path}/{name}")
-    if date == "latest":
-        date = rows.agg(F.max(F.col("snapshot_date").cast("string"))).first()[0]
-    return rows.where(F.col("snapshot_date").cast("string") == date)
+    """A table of a date; an unknown date or table is an error."""
+    return spark.read.parquet(data_file(snapshot_index(spark, path), name, date))
 
 
 def indexed(index: DataFrame, entry: DataFrame) -> DataFrame:

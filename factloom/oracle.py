@@ -113,6 +113,7 @@ clusters AS (SELECT g AS url, id AS review_id, c AS cluster FROM ward)"""
 #: One row for each merged record and link, with the record's label and its first review.
 LINKS = f"""{CLUSTERS},
 placed AS (SELECT lab.*, cluster, row_number() OVER (PARTITION BY lab.url, cluster ORDER BY coalesce(CAST(date_published AS VARCHAR), '9999'), lab.review_id) AS place FROM lab JOIN clusters ON clusters.review_id = lab.review_id),
+record_texts AS (SELECT cluster, string_agg(DISTINCT trim(claim_reviewed), '|' ORDER BY trim(claim_reviewed)) AS texts, string_agg(CAST(review_id AS VARCHAR), ',' ORDER BY place) AS ids FROM placed GROUP BY cluster),
 verdicts AS (SELECT url, cluster, CASE WHEN count(DISTINCT label) > 1 THEN 'check_me' ELSE min(label) END AS final FROM placed GROUP BY url, cluster),
 firsts AS (SELECT placed.review_id, placed.url, placed.cluster, trim(claim_reviewed) AS claim_reviewed, alternate_name, date_published, retrieved_by, domain, final AS label
            FROM placed JOIN verdicts ON verdicts.url = placed.url AND verdicts.cluster = placed.cluster WHERE place = 1),
@@ -126,7 +127,22 @@ def _verdict(label: str = "label") -> str:
 
 def _table(where: str = "") -> str:
     return f"""WITH {LINKS} SELECT link AS misinforming_url, {domain("link")} AS misinforming_domain, count(*) AS n_reviews,
-        string_agg(CAST(review_id AS VARCHAR), ',' ORDER BY coalesce(CAST(date_published AS VARCHAR), '9999'), review_id) AS reviews FROM links {where} GROUP BY link"""
+        string_agg(CAST(review_id AS VARCHAR), ',' ORDER BY coalesce(CAST(date_published AS VARCHAR), '9999'), review_id) AS reviews,
+        string_agg(texts, '|' ORDER BY coalesce(CAST(date_published AS VARCHAR), '9999'), review_id) AS claims FROM links JOIN record_texts t ON t.cluster = links.cluster {where} GROUP BY link"""
+
+
+def counters(raw: str) -> str:
+    """The job's counters, of all rows in `raw` (url, domain) and those collected again in lab, links and firsts."""
+    return f"""again AS (SELECT url, domain FROM lab WHERE domain IN (SELECT domain FROM reg)),
+        a AS (SELECT (SELECT count(*) FROM {raw}) + (SELECT count(*) FROM again) AS raw_reviews, (SELECT count(*) FROM again) AS recollected_reviews, (SELECT count(DISTINCT url) FROM again) AS review_urls,
+                     count(DISTINCT url) AS urls_not_registered, count(DISTINCT domain) AS domains_not_registered FROM {raw} WHERE domain NOT IN (SELECT domain FROM reg)),
+        b AS (SELECT count(*) AS merged_reviews, count(CASE WHEN label = 'check_me' THEN 1 END) AS not_matching_labels FROM firsts WHERE domain IN (SELECT domain FROM reg)),
+        c AS (SELECT count(DISTINCT link) AS unique_appearances, count(DISTINCT CASE WHEN label = 'not_credible' THEN link END) AS links_not_credible FROM links WHERE domain IN (SELECT domain FROM reg)),
+        x AS (SELECT domain, count(*) AS before FROM {raw} WHERE domain IN (SELECT domain FROM reg) GROUP BY domain),
+        y AS (SELECT domain, count(*) AS after FROM again GROUP BY domain),
+        e AS (SELECT string_agg(x.domain || ':' || before || ':' || coalesce(after, 0), ',' ORDER BY x.domain) AS recollection_stats FROM x LEFT JOIN y ON y.domain = x.domain),
+        d AS (SELECT count(*) AS registered_domains FROM reg)
+        SELECT * FROM a, b, c, d, e"""
 
 
 RECOLLECTED = f"""{SCORED}, {REG},
@@ -184,8 +200,10 @@ SQL: dict[str, str] = {
     "reviews_by_url": f"WITH {CR} SELECT url, count(*) AS n, string_agg(lpad(CAST(review_id AS VARCHAR), 12, '0'), ',' ORDER BY review_id) AS reviews FROM cr GROUP BY url",
     "unique_urls_by_source": f"WITH {CR} SELECT retrieved_by, count(DISTINCT url) AS n_urls FROM cr GROUP BY retrieved_by",
     "claim_clusters": f"WITH {CLUSTERS} SELECT url, review_id, cluster FROM clusters",
-    "different_texts": f"""WITH {CLUSTERS} SELECT cr.url, count(DISTINCT cluster) AS n_clusters, count(DISTINCT trim(claim_reviewed)) AS n_texts
-        FROM cr JOIN clusters ON cr.review_id = clusters.review_id GROUP BY cr.url HAVING count(DISTINCT cluster) > 1""",
+    "different_texts": f"""WITH {LINKS}, n AS (SELECT url, count(DISTINCT cluster) AS n_clusters FROM clusters GROUP BY url HAVING count(DISTINCT cluster) > 1)
+        SELECT DISTINCT c.url, c.cluster, n_clusters, texts FROM clusters c JOIN n ON n.url = c.url JOIN record_texts t ON t.cluster = c.cluster""",
+    "disagreeing_records": f"""WITH {LINKS}, n AS (SELECT link FROM links GROUP BY link HAVING count(DISTINCT label) > 1)
+        SELECT links.link, url, links.cluster, domain, label, texts, ids AS reviews FROM links JOIN n ON n.link = links.link JOIN record_texts t ON t.cluster = links.cluster""",
     "merged_reviews": f"""WITH {CLUSTERS},
         l AS (SELECT cluster, string_agg(DISTINCT link, '|' ORDER BY link) AS links FROM raw_links JOIN clusters ON raw_links.review_id = clusters.review_id GROUP BY cluster)
         SELECT lab.url, c.cluster, any_value(domain) AS domain, {_verdict()} AS label, count(DISTINCT trim(claim_reviewed)) AS n_texts, coalesce(any_value(links), '') AS links, count(*) AS n_reviews
@@ -209,15 +227,10 @@ SQL: dict[str, str] = {
     "count_by_domain_label_top100": f"WITH {SCORED} SELECT domain, label, count(*) AS n FROM lab GROUP BY domain, label ORDER BY n DESC, domain, label LIMIT 100",
     "label_histogram": f"WITH {SCORED} SELECT label, count(*) AS n FROM lab GROUP BY label",
     "date_histogram": f"WITH {CR} SELECT CAST(date_published AS VARCHAR) AS day, count(*) AS n FROM cr GROUP BY 1",
-    "job_stats": f"""WITH {LINKS}, {REG},
-        a AS (SELECT count(*) + count(reg.domain) AS raw_reviews, count(reg.domain) AS recollected_reviews,
-                     count(DISTINCT CASE WHEN reg.domain IS NULL THEN url END) AS urls_not_registered, count(DISTINCT CASE WHEN reg.domain IS NULL THEN lab.domain END) AS domains_not_registered,
-                     count(DISTINCT CASE WHEN reg.domain IS NOT NULL THEN url END) AS review_urls
-              FROM lab LEFT JOIN reg ON lab.domain = reg.domain),
-        b AS (SELECT count(*) AS merged_reviews, count(CASE WHEN label = 'check_me' THEN 1 END) AS not_matching_labels FROM firsts WHERE domain IN (SELECT domain FROM reg)),
-        c AS (SELECT count(DISTINCT link) AS unique_appearances, count(DISTINCT CASE WHEN label = 'not_credible' THEN link END) AS links_not_credible FROM links WHERE domain IN (SELECT domain FROM reg)),
-        d AS (SELECT count(*) AS registered_domains FROM reg)
-        SELECT * FROM a, b, c, d""",
+    "job_stats": f"WITH {LINKS}, {REG}, {counters('lab')}",
+    # reviews collected again are two of three, and only they are clustered and merged
+    "job_stats_recollected": f"""WITH {LINKS.replace("(d.doc_id * 13 + 5) % n)", "(d.doc_id * 13 + 5) % n WHERE d.doc_id % 3 <> 0)")}, {REG},
+        every_row AS (SELECT p.url, {domain("p.url")} AS domain FROM documents d CROSS JOIN np JOIN pg p ON p.page_id = d.doc_id % n), {counters('every_row')}""",
     "agree_by_domain": f"WITH {SCORED} SELECT domain, min(label) AS label, string_agg(DISTINCT retrieved_by, ',' ORDER BY retrieved_by) AS sources FROM lab GROUP BY domain HAVING count(DISTINCT label) = 1",
     "aggregate_agree": f"WITH {SCORED} SELECT url, min(label) AS label, string_agg(DISTINCT retrieved_by, ',' ORDER BY retrieved_by) AS sources FROM lab GROUP BY url HAVING count(DISTINCT label) = 1",
     "labels_per_author": f"WITH {SCORED} SELECT retrieved_by, count(DISTINCT label) AS n_labels FROM lab GROUP BY retrieved_by",

@@ -134,10 +134,33 @@ def test_daily_snapshot(spark, tmp_path):
     known = relations.with_registry(cr, reg, "left_semi")
     assert stats["raw_reviews"] == cr.count() + known.count() and stats["recollected_reviews"] == known.count()
     assert store.read_snapshot(spark, str(tmp_path), "claim_reviews_raw").count() == stats["raw_reviews"]
+    assert store.read_snapshot(spark, str(tmp_path), "claim_reviews").count() == stats["merged_reviews"]
     links = store.read_snapshot(spark, str(tmp_path), "links_all_full")
     assert links.count() == links.select("misinforming_url").distinct().count() > 0
 
 
+def test_snapshots_of_reviews_collected_again(spark, tmp_path):
+    """The counters are those of the given reviews; a date written again is replaced as a whole, an unknown one is an error."""
+    cr, reg, path = fixture.reviews(spark, SF), fixture.registry(spark, SF), str(tmp_path)
+    none = cr.limit(0)
+    daily.run(cr, reg, path, "2024_01_02", none)
+    stats = store.read_snapshot(spark, path, "stats", "2024_01_02").first()
+    assert (stats["merged_reviews"], stats["recollected_reviews"], stats["raw_reviews"]) == (0, 0, cr.count())
+    assert store.read_snapshot(spark, path, "claim_reviews").count() == 0 and all(r["after"] == 0 for r in stats["recollection_stats"])
+    some = relations.with_registry(cr, reg, "left_semi").where("review_id % 2 = 0").select(*cr.columns)
+    daily.run(cr, reg, path, "2024_01_01", some)
+    assert store.read_snapshot(spark, path, "stats", "2024_01_01").first()["recollected_reviews"] == some.count()
+    assert store.read_snapshot(spark, path, "stats").first()["merged_reviews"] == 0  # latest is the later date
+    daily.run(cr, reg, path, "2024_01_02", some)
+    again = store.read_snapshot(spark, path, "disagreeing_reviews")
+    assert {"claim_text", "reviews", "label"} <= set(again.columns) and again.groupBy("link").agg(F.count_distinct("label").alias("n")).where("n < 2").isEmpty()
+    assert store.read_snapshot(spark, path, "different_texts").where("size(claim_text) = 0").isEmpty()
+    with pytest.raises(KeyError):
+        store.read_snapshot(spark, path, "stats", "2024_01_03")
+    with pytest.raises(KeyError):
+        store.read_snapshot(spark, path, "no_table")
+
+
 def test_cursor_goes_round(spark):
     links = rv.link_table(fixture.reviews(spark, SF)).cache()
     keep = serving.satisfies(since="2024-01-25", exclude=())
