@@ -20,9 +20,11 @@ also in the link counts. A very long text is a block of its own. Ties for the hi
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from factloom.llm.segments import cut, distinct
 
 SPACE = "▁"
 #: Segments up to so many characters are kept for later blocks, up to so many at once; as are steps of the transducer.
-KEPT_CHARS, KEPT, STEPS = 48, 100_000, 500_000
+KEPT_CHARS, KEPT, STEPS = 48, 300_000, 500_000
 
 
 def byte_level() -> dict[str, int]:
@@ -46,50 +48,79 @@ def byte_level() -> dict[str, int]:
 
 
 class Transducer:
-    """Groups and links of two token rows; None if their bytes differ."""
+    """Groups and links of two token rows.
+
+    A state is a number for (side that leads, rest): 0 for an empty rest, positive if A leads, negative if B does. Steps are kept
+    by state and next token. The bytes of a rest are those of the ends of tokens, so their number is bounded by the vocabularies.
+    """
+
+    FAIL = 1 << 60
+    SHIFT = 20  # tokens have numbers below this power of two
 
     def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes]):
         self.bytes = (a_bytes, b_bytes)
-        self.steps: dict[tuple[int, bytes, int], tuple[int, bytes] | None] = {}
-
-    def step(self, lead: int, rest: bytes, token: int) -> tuple[int, bytes] | None:
-        """The side that leads, and by what, once the other has taken the token; None if that doesn't fit."""
-        other = self.bytes[1 - lead][token]
+        self.names = ([str(i) for i in range(len(a_bytes))], [str(i) for i in range(len(b_bytes))])
+        self.rests: list[bytes] = [b""]
+        self.numbers: dict[bytes, int] = {b"": 0}
+        self.steps: dict[int, int] = {}
+        self.starts = [self.number(x) for x in a_bytes]
+
+    def number(self, rest: bytes) -> int:
+        if rest not in self.numbers:
+            self.numbers[rest] = len(self.rests)
+            self.rests.append(rest)
+        return self.numbers[rest]
+
+    def step(self, state: int, token: int) -> int:
+        """The state once the side behind has taken the token; FAIL if that doesn't fit."""
+        side = 1 if state > 0 else -1
+        rest, other = self.rests[abs(state)], self.bytes[state > 0][token]
         if rest.startswith(other):
-            to = (lead, rest[len(other) :])
+            to = side * self.number(rest[len(other) :])
         elif other.startswith(rest):
-            to = (1 - lead, other[len(rest) :])
+            to = -side * self.number(other[len(rest) :])
         else:
-            to = None
+            to = self.FAIL
         if len(self.steps) >= STEPS:
             self.steps.clear()
-        self.steps[lead, rest, token] = to
+        self.steps[state << self.SHIFT | token] = to
         return to
 
-    def align(self, a: list[int], b: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]] | None:
-        groups, links, steps = [], [], self.steps
-        rows, at = (a, b), [0, 0]
-        while at[0] < len(a):
-            top = a[at[0]]
-            lead, rest, group = 0, self.bytes[0][top], ([top], [])
-            at[0] += 1
-            while rest:
-                behind = 1 - lead
-                if at[behind] == len(rows[behind]):
-                    return None
-                token = rows[behind][at[behind]]
-                at[behind] += 1
-                group[behind].append(token)
-                links.append((token, top) if lead else (top, token))
-                key = (lead, rest, token)
-                to = steps[key] if key in steps else self.step(*key)
-                if to is None:
-                    return None
-                if to[0] != lead:
-                    top = token
-                lead, rest = to
-            groups.append(group)
-        return (groups, links) if at[1] == len(b) else None
+    def align(self, a: list[int], b: list[int]) -> tuple[list[str], list[int]] | None:
+        """Each group as `a1,a2|b1`, and the links as a << 32 | b; None if the bytes differ."""
+        groups, links, steps, starts, shift, fail = [], [], self.steps, self.starts, self.SHIFT, self.FAIL
+        name_a, name_b = self.names
+        i = j = 0
+        try:
+            while i < len(a):
+                top = a[i]
+                i += 1
+                of_a, of_b, state = name_a[top], "", starts[top]
+                while state:
+                    if state > 0:
+                        token = b[j]
+                        j += 1
+                        of_b = f"{of_b},{name_b[token]}" if of_b else name_b[token]
+                        links.append(top << 32 | token)
+                        to = steps.get(state << shift | token)
+                        state = self.step(state, token) if to is None else to
+                        if state < 0:
+                            top = token
+                    else:
+                        token = a[i]
+                        i += 1
+                        of_a = f"{of_a},{name_a[token]}"
+                        links.append(token << 32 | top)
+                        to = steps.get(state << shift | token)
+                        state = self.step(state, token) if to is None else to
+                        if state > 0:
+                            top = token
+                    if state == fail:
+                        return None
+                groups.append(f"{of_a}|{of_b}")
+        except IndexError:  # one side ended first
+            return None
+        return (groups, links) if j == len(b) else None
 
 
 class Aligner:
@@ -106,6 +137,7 @@ class Aligner:
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
+        self.encode_a = getattr(self.a, "encode_batch_fast", self.a.encode_batch)  # without offsets
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         table = byte_level()
         token = [self.a.id_to_token(i) for i in range(self.a.get_vocab_size())]
@@ -118,19 +150,20 @@ class Aligner:
         self.known: dict[str, tuple | None] = {}
 
     def entries(self, segments: list[str]) -> list[tuple | None]:
-        """Of each segment: tokens of A and B, groups, its groups as text, its links as numbers (a << 32 | b); None if bytes differ."""
+        """Of each segment: tokens of A and B, groups, its groups as text, its links as numbers; None if bytes differ."""
         new = [x for x in segments if x not in self.known]
         made: dict[str, tuple | None] = {}
         for i in range(0, len(new), 2000):
             part = new[i : i + 2000]
-            rows = zip(part, self.a.encode_batch([" " + x for x in part], add_special_tokens=False), self.b.encode(part, num_threads=1), strict=True)
+            rows = zip(part, self.encode_a([" " + x for x in part], add_special_tokens=False), self.b.encode(part, num_threads=1), strict=True)
             for text, a, b in rows:
                 made[text] = self._entry(text, a.ids, b)
-        out = [self.known[x] if x in self.known else made[x] for x in segments]
-        if len(self.known) + len(made) > KEPT:
-            self.known = {}
-        if len(made) <= KEPT:
-            self.known.update((k, v) for k, v in made.items() if len(k) <= KEPT_CHARS)
+        known = self.known
+        out = [made[x] if x in made else known[x] for x in segments]
+        if len(known) + len(made) > KEPT:  # those of this block stay, if they aren't too many
+            known = self.known = {}
+            made = dict(zip(segments, out, strict=True)) if len(segments) <= KEPT else {}
+        known.update((k, v) for k, v in made.items() if len(k) <= KEPT_CHARS)
         return out
 
     def _entry(self, text: str, a: list[int], b: list[int]) -> tuple | None:
@@ -138,8 +171,7 @@ class Aligner:
         if found is None or b"".join(map(self.transducer.bytes[0].__getitem__, a)) != (" " + text).encode():
             return None
         groups, links = found
-        said = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-        return len(a), len(b), len(groups), said, np.array([x << 32 | y for x, y in links], np.int64)
+        return len(a), len(b), len(groups), ";".join(groups), links
 
     def block(self, texts: list[str]) -> dict:
         """Of a block of texts: columns with an item a text, its distinct id pairs with their sums, and each text's pairs by place.
@@ -158,23 +190,24 @@ class Aligner:
             entries = self.entries(names)
             failed = {p for p, e in zip(names, entries, strict=True) if e is None}
             rows = [row if failed.isdisjoint(row) else [] for row in rows]
-            entries = [(0, 0, 0, "", np.empty(0, np.int64)) if e is None else e for e in entries]
+            entries = [(0, 0, 0, "", []) if e is None else e for e in entries]
         place = {p: i for i, p in enumerate(names)}
         lengths = np.array([len(row) for row in rows], np.int64)
         of_text = np.repeat(np.arange(len(rows)), lengths)
-        segment = np.fromiter((place[p] for row in rows for p in row), np.int64, int(lengths.sum()))
+        segment = np.fromiter(map(place.__getitem__, chain.from_iterable(rows)), np.int64, int(lengths.sum()))
         out = {}
         for i, name in enumerate(("n_a", "n_b", "n_groups")):
             values = np.array([e[i] for e in entries], np.int64)
             out[name] = np.bincount(of_text, values[segment], len(rows)).astype(np.int64) if len(segment) else np.zeros(len(rows), np.int64)
-        out["groups_sha256"] = [hashlib.sha256(";".join(entries[place[p]][3] for p in row).encode()).hexdigest() if row else "" for row in rows]
+        said = {p: e[3] for p, e in zip(names, entries, strict=True)}
+        out["groups_sha256"] = [hashlib.sha256(";".join(map(said.__getitem__, row)).encode()).hexdigest() if row else "" for row in rows]
         return out | self._pairs(entries, of_text, segment, len(rows))
 
     @staticmethod
     def _pairs(entries: list[tuple], of_text: np.ndarray, segment: np.ndarray, n: int) -> dict:
-        links = np.concatenate([np.empty(0, np.int64), *[e[4] for e in entries]])
-        pairs, at = np.unique(links, return_inverse=True)
         sizes = np.array([len(e[4]) for e in entries], np.int64)
+        links = np.fromiter(chain.from_iterable(e[4] for e in entries), np.int64, int(sizes.sum()))
+        pairs, at = np.unique(links, return_inverse=True)
         starts = np.cumsum(sizes) - sizes
         both, times = np.unique(of_text * max(1, len(entries)) + segment, return_counts=True)
         text, which = np.divmod(both, max(1, len(entries)))
@@ -222,7 +255,9 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, block_bytes: int =
 
         number = TaskContext.get().partitionId() << 33
         for batch in slices(batches, "text", block_bytes):
+            gc.disable()  # many small objects, none in a cycle
             found = aligner(a_path, b_path).block(pc.fill_null(batch["text"], "").to_pylist())
+            gc.enable()
             columns = {"doc_id": batch["doc_id"].to_pylist()} | found
             kinds = {"groups_sha256": pa.string(), "n_pairs": pa.int32(), "pair": pa.int32(), "times": pa.int32()}
             arrays = [pa.array([number], pa.int64())]
