@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.llm.common import materialise, released, ship, slices
-from factloom.llm.segments import cut, distinct
+from factloom.llm.segments import cut
 
 SPACE = "▁"
 #: Segments up to so many characters are kept for later blocks, up to so many at once; as are steps of the transducer.
@@ -146,6 +146,7 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.transducer = Transducer(a_bytes, b_bytes)
+        self.a_lengths = np.array([len(x) for x in a_bytes])
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in pieces)
         self.known: dict[str, tuple | None] = {}
 
@@ -155,9 +156,8 @@ class Aligner:
         made: dict[str, tuple | None] = {}
         for i in range(0, len(new), 2000):
             part = new[i : i + 2000]
-            rows = zip(part, self.encode_a([" " + x for x in part], add_special_tokens=False), self.b.encode(part, num_threads=1), strict=True)
-            for text, a, b in rows:
-                made[text] = self._entry(text, a.ids, b)
+            for text, a, b in zip(part, self.encoded(part), self.b.encode(part, num_threads=1), strict=True):
+                made[text] = self._entry(text, a, b)
         known = self.known
         out = [made[x] if x in made else known[x] for x in segments]
         if len(known) + len(made) > KEPT:  # those of this block stay, if they aren't too many
@@ -166,6 +166,27 @@ class Aligner:
         known.update((k, v) for k, v in made.items() if len(k) <= KEPT_CHARS)
         return out
 
+    def encoded(self, segments: list[str]) -> list[list[int]]:
+        """A's tokens of a space and each segment.
+
+        Segments without blanks at their ends go as one text, in which the tokenizer splits at the spaces between them; each
+        has the tokens that end where it does. Should its bytes not come out that way, and for the others, each goes by itself.
+        """
+        joined = [x for x in segments if x and not x[0].isspace() and not x[-1].isspace()] if self.splits else []
+        found: dict[str, list[int]] = {}
+        if joined:
+            ids = self.encode_a([" " + " ".join(joined)], add_special_tokens=False)[0].ids
+            ends = np.cumsum(self.a_lengths[ids])
+            wanted = np.cumsum([len(x.encode()) + 1 for x in joined])
+            at = np.searchsorted(ends, wanted)
+            if len(ends) and at[-1] == len(ends) - 1 and np.array_equal(ends[at], wanted):
+                cuts = [0, *(at + 1).tolist()]
+                found = {x: ids[cuts[i] : cuts[i + 1]] for i, x in enumerate(joined)}
+        rest = [x for x in segments if x not in found]
+        if rest:
+            found.update(zip(rest, (x.ids for x in self.encode_a([" " + x for x in rest], add_special_tokens=False)), strict=True))
+        return [found[x] for x in segments]
+
     def _entry(self, text: str, a: list[int], b: list[int]) -> tuple | None:
         found = self.transducer.align(a, b)
         if found is None or b"".join(map(self.transducer.bytes[0].__getitem__, a)) != (" " + text).encode():
@@ -179,14 +200,14 @@ class Aligner:
         Texts without tokens have zeros and no pairs.
         """
         rows = self.parts(texts)
-        names = list(dict.fromkeys(p for row in rows for p in row))
+        names = list(dict.fromkeys(chain.from_iterable(rows)))
         entries = self.entries(names)
         failed = {p for p, e in zip(names, entries, strict=True) if e is None}
         if failed:  # whole texts instead of segments, or nothing
             for i, row in enumerate(rows):
                 if not failed.isdisjoint(row):
                     rows[i] = [texts[i]] if len(row) > 1 else []
-            names = list(dict.fromkeys(p for row in rows for p in row))
+            names = list(dict.fromkeys(chain.from_iterable(rows)))
             entries = self.entries(names)
             failed = {p for p, e in zip(names, entries, strict=True) if e is None}
             rows = [row if failed.isdisjoint(row) else [] for row in rows]
@@ -233,8 +254,11 @@ class Aligner:
     def parts(self, texts: list[str]) -> list[list[str]]:
         if not self.splits:
             return [[x] if x else [] for x in texts]
-        _, _, odd = distinct(texts)
-        return [cut(x, i in odd) if x else [] for i, x in enumerate(texts)]
+        rows = [x.split(" ") if x else [] for x in texts]
+        blank = {x for x in set(chain.from_iterable(rows)) if not x or x[0].isspace() or x[-1].isspace()}
+        if blank:  # there are spaces beside other blanks, which are no safe boundary
+            rows = [row if blank.isdisjoint(row) else cut(texts[i], True) for i, row in enumerate(rows)]
+        return rows
 
 
 @lru_cache(maxsize=2)
