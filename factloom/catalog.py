@@ -315,9 +315,9 @@ def topic_feed_flatten(spark, sf_dir):
 
 @query
 def days_normalised(spark, sf_dir):
-    """Days of events written in eight ways."""
+    """Days of events written in ten ways."""
     e = fixture.table(spark, sf_dir, "events")
-    forms = ["yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss'+09:00'", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "M/d/yyyy", "d.M.yyyy", "'Posted on' MMMM d, yyyy"]
+    forms = ["yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss'+09:00'", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "M/d/yyyy", "d.M.yyyy", "'Posted on' MMMM d, yyyy", "yyyyMMdd", "d.M.yy"]
     text = F.element_at(F.array(*[F.date_format("ts", f) for f in forms]), (F.col("event_id") % len(forms)).cast("int") + 1)
     return e.select("event_id", day_of(text).cast("string").alias("day"))
 
