@@ -208,7 +208,7 @@ tfc-taiwan.org.tw spondeomedia.com mythdetector.ge newsmobile.in truthmeter.mk v
 animal.mx lasillavacia.com pesacheck.org factnameh.com medium.com fatabyyano.net crithink.mk
 """.split()
 
-# Domains whose pages may name shared-fact widgets.
+# Registered domains of social networks, whose links are of accounts and posts.
 SOCIAL_DOMAINS = ["facebook.com", "twitter.com", "instagram.com", "youtube.com"]
 
 # Corrections of links that reviews give wrongly.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions.tables import ACCOUNT_DOMAINS, HOMEPAGE_PATHS, LEFT_OUT_DOMAINS, NEVER_SAMPLED, SOCIAL_DOMAINS, TOPIC_AFTER, TOPIC_WORDS
 from factloom.functions.urls import path, registered_domain
+from factloom.sources.pages import title as page_title
 
 
 def satisfies(since: str | None = None, until: str | None = None, misinforming_domain: str | None = None, exclude: Sequence[str] = LEFT_OUT_DOMAINS, fact_checker_domain: str | None = None, no_homepages: bool = True) -> Column:
@@ -75,7 +76,7 @@ def latest(reviews: DataFrame, as_of: str, n: int = 100) -> DataFrame:
 def latest_with_page(reviews: DataFrame, pages: DataFrame, as_of: str, n: int = 100, first: int = 10) -> DataFrame:
     """Of the n latest reviews the first ten whose page has a title."""
     rows = latest(reviews, as_of, n)
-    titled = pages.select("url", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")).where("title <> ''").groupBy("url").agg(F.min("title").alias("title"))
+    titled = pages.select("url", page_title(F.col("html")).alias("title")).where("title <> ''").groupBy("url").agg(F.min("title").alias("title"))
     return rows.join(titled, "url").orderBy(F.desc("date_published"), "review_id").limit(first)
 
 

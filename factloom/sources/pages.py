@@ -21,7 +21,7 @@ def fetched(urls: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def title(html: Column) -> Column:
-    return F.regexp_extract(html, "<title>([^<]*)</title>", 1)
+    return F.regexp_extract(html, r"(?i)<title\b[^>]*>([^<]*)</title>", 1)
 
 
 def repaired(raw: Column) -> Column:

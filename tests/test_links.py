@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.functions import suffixes, urls
+from factloom.operators import links
 
 listed = pytest.mark.skipif(suffixes.list_path() is None, reason="no public suffix list on this machine")
 RULES = ["com", "jp", "kyoto.jp", "*.kobe.jp", "!city.kobe.jp", "uk", "co.uk", "nhs.uk", "*.ck", "!www.ck", "p.com", "公司.cn", "cn"]
@@ -74,6 +75,41 @@ def test_links_of_all_shapes(spark):
     assert got == [*cases.values(), ""]
 
 
+def test_archives(spark):
+    cases = {
+        "https://web.archive.org/web/2022/https:/x.com/p": "https://x.com/p",
+        "http://web.archive.org/web/1/http://web.archive.org/web/2/http:/y.org/a?b": "http://y.org/a?b",
+        "https://web.archive.org/save/http:/z.org": "http://z.org",
+        "https://web.archive.org/web/2022/foo/bar": None,
+        "https://archive.org/web/2022/https://x.com/p": None,
+        "https://archive.org/details/x": None,
+    }
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(cases)], "i long, url string")
+    got = [r.u for r in rows.select("i", urls.unwrapped(F.col("url")).alias("u")).orderBy("i").collect()]
+    assert got == [want or url for url, want in cases.items()]
+    pages = ["<form action='https://archive.is/search/' id=x><p><input name=q value='http://a.org/?x=1&amp;y=2'></form>", '<FORM id="s" action="https://archive.is/search/"><input VALUE="http://b.org" type=text></form>', '<form action="https://archive.ph/search/"><input value="http://c.org"></form>', "<input value='http://d.org'>", None]
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i long, html string")
+    got = [r.u for r in rows.select("i", urls.form_target(F.col("html"), F.lit("archive.is")).alias("u")).orderBy("i").collect()]
+    assert got == ["http://a.org/?x=1&y=2", "http://b.org", None, None, None]
+
+
+def test_chains(spark):
+    """Chains of all lengths, cycles and links that lead into them, archives of archives, several targets, nulls."""
+    n = 40
+    hops = [(f"http://c.org/{i}", f"http://c.org/{i + 1}") for i in range(n)] + [("http://r.org/a", "http://r.org/b"), ("http://r.org/b", "http://r.org/c"), ("http://r.org/c", "http://r.org/a"), ("http://into.org/1", "http://r.org/b")]
+    hops += [("http://self.org/x", "http://self.org/x"), ("http://two.org/x", "http://b.org/2"), ("http://two.org/x", "http://b.org/1"), (None, "http://n.org"), ("http://n.org/1", None), ("http://t.org/1", "https://web.archive.org/web/1/http://archive.is/abc"), ("http://m.org/1", "http://end.org/?b=1&a=2")]
+    pages = [("http://archive.is/abc", '<form action="https://archive.is/search/"><input value="http://c.org/38"></form>'), ("https://archive.is/none", "<p>nothing</p>")]
+    cases = {f"http://c.org/{i}": f"http://c.org/{n}" for i in range(n + 1)}
+    cases |= {"http://r.org/a": "http://r.org/a", "http://into.org/1": "http://into.org/1", "http://self.org/x": "http://self.org/x", "http://two.org/x": "http://b.org/1", "http://n.org/1": "http://n.org/1", "http://t.org/1": "http://c.org/40", "http://m.org/1/": "http://end.org/?b=1&a=2"}
+    cases |= {"https://archive.is/none": "https://archive.is/none", "https://perma.cc/none": "https://perma.cc/none", "Plain.org/x/": "https://plain.org/x", "ftp://no.org": None, None: None, "https://web.archive.org/web/1/https://web.archive.org/web/2/http://c.org/39": "http://c.org/40"}
+    asked = spark.createDataFrame([(i, u, "k") for i, u in enumerate([*cases, "http://c.org/3"])], "i long, url string, key string")
+    out = links.resolved_links(asked, spark.createDataFrame(hops, "url string, to string"), spark.createDataFrame(pages, "url string, html string"))
+    assert out.columns == asked.columns
+    assert [r.url for r in out.orderBy("i").collect()] == [*cases.values(), "http://c.org/40"]
+    none = links.resolved_links(asked.limit(0), spark.createDataFrame([], "url string, to string"), spark.createDataFrame([], "url string, html string"))
+    assert none.count() == 0
+
+
 def test_without_a_list(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "list_path", lambda: None)
     assert domains(spark, ["www.a.co.uk", "a.gov.br", "x.a.org", "gov.br", "x.y.qc.ca"]) == ["a.co.uk", "a.gov.br", "a.org", "", "y.qc.ca"]
