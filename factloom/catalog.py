@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions import ratings, urls
 from factloom.functions.dates import day_of
-from factloom.operators import clustering, links, relations, serving, store, tweets
+from factloom.operators import clustering, links, relations, scratch, serving, store, tweets
 from factloom.operators import reviews as rv
 from factloom.oracle import SQL
 from factloom.sources import fixture, listings, pages as pg, raw_reviews as raw, readers
@@ -29,12 +29,12 @@ def on_reviews(name: str, f: Callable[[DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: f(fixture.reviews(spark, sf_dir))
 
 
-_records: dict[tuple[str, str], DataFrame] = {}
+_records: dict[tuple[str, str, int], DataFrame] = {}
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged records of the reviews, written once a session and folder: all link tables are made of them."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, scratch.times_cleared(spark))
     if key not in _records:
         _records[key] = rv.records(fixture.reviews(spark, sf_dir))
     return _records[key]

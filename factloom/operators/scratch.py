@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
+_cleared: dict[str, int] = {}
 
 
 def folder(spark: SparkSession) -> str:
@@ -36,8 +37,14 @@ def kept(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def times_cleared(spark: SparkSession) -> int:
+    """Who remembers a kept table has to make it anew once this number has changed."""
+    return _cleared.get(spark.sparkContext.applicationId, 0)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete the tables kept so far; what was made of them and isn't written yet becomes unreadable."""
+    _cleared[spark.sparkContext.applicationId] = times_cleared(spark) + 1
     for path in _made.pop(spark.sparkContext.applicationId, []):
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -139,6 +139,16 @@ def test_daily_snapshot(spark, tmp_path):
     assert links.count() == links.select("misinforming_url").distinct().count() > 0
 
 
+def test_records_are_made_anew_once_cleared(spark):
+    from factloom import catalog
+    from factloom.operators import scratch
+
+    first = catalog.queries()["links_not_credible"](spark, SF)
+    n = first.count()
+    scratch.clear(spark)
+    assert catalog.queries()["links_not_credible"](spark, SF).count() == n > 0
+
+
 def test_snapshots_of_reviews_collected_again(spark, tmp_path):
     """The counters are those of the given reviews; a date written again is replaced as a whole, an unknown one is an error."""
     cr, reg, path = fixture.reviews(spark, SF), fixture.registry(spark, SF), str(tmp_path)
