@@ -26,7 +26,7 @@ def shared(spark, tmp_path_factory):
     return str(where), con
 
 
-@pytest.mark.parametrize("name", ["listing_until_known"])
+@pytest.mark.parametrize("name", ["listing_until_known", "merge_precedence"])
 def test_same_rows_where_pages_share_addresses(spark, shared, name):
     where, con = shared
     got = catalog.queries()[name](spark, where)
@@ -35,3 +35,9 @@ def test_same_rows_where_pages_share_addresses(spark, shared, name):
     assert sorted(names) == sorted(got.columns)
     want = sorted(str(tuple(map(plain, row))) for row in cursor.fetchall())
     assert want and sorted(str(tuple(plain(r[c]) for c in names)) for r in got.collect()) == want
+
+
+def test_overlaid(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "url string, n long")
+    later = spark.createDataFrame([("a", 7), ("a", 5), ("d", 9), ("c", None)], "url string, n long")
+    assert sorted(relations.overlaid(rows, later.where("n IS NOT NULL"), "url", "n").collect()) == [("a", 7), ("a", 7), ("b", 3), ("c", 4), ("d", 9)]
