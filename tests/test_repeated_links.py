@@ -26,7 +26,7 @@ def shared(spark, tmp_path_factory):
     return str(where), con
 
 
-@pytest.mark.parametrize("name", ["listing_until_known", "merge_precedence"])
+@pytest.mark.parametrize("name", ["listing_until_known", "merge_precedence", "wide_reviews", "wide_reviews_rest"])
 def test_same_rows_where_pages_share_addresses(spark, shared, name):
     where, con = shared
     got = catalog.queries()[name](spark, where)
@@ -41,3 +41,13 @@ def test_overlaid(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "url string, n long")
     later = spark.createDataFrame([("a", 7), ("a", 5), ("d", 9), ("c", None)], "url string, n long")
     assert sorted(relations.overlaid(rows, later.where("n IS NOT NULL"), "url", "n").collect()) == [("a", 7), ("a", 7), ("b", 3), ("c", 4), ("d", 9)]
+
+
+def test_wide_reviews_and_the_rest_hold_every_domain(spark):
+    rows = [(i, f"https://site{i}.org/a", "False", 5, 1, 1, "https://bad.example/x") for i in range(5)]
+    reviews = spark.createDataFrame(rows, "review_id long, url string, alternate_name string, best int, worst int, value int, appearance string")
+    reviews = reviews.withColumns({"claim_reviewed": F.lit("c"), "date_published": F.lit(None).cast("date"), "retrieved_by": F.lit("s")})
+    wide = rv.wide_reviews(reviews, most=3).first().asDict()
+    assert wide["n_domains"] == 5 and "review_domain_3" not in wide
+    rest = {r["place"]: r["review_domain"] for r in rv.reviews_beyond(reviews, 3).collect()}
+    assert {i: wide[f"review_domain_{i}"] for i in range(3)} | rest == {i: f"site{i}.org" for i in range(5)}
