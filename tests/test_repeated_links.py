@@ -51,3 +51,21 @@ def test_wide_reviews_and_the_rest_hold_every_domain(spark):
     assert wide["n_domains"] == 5 and "review_domain_3" not in wide
     rest = {r["place"]: r["review_domain"] for r in rv.reviews_beyond(reviews, 3).collect()}
     assert {i: wide[f"review_domain_{i}"] for i in range(3)} | rest == {i: f"site{i}.org" for i in range(5)}
+
+
+def test_pairs_at_the_limit_are_decided_as_sql_does(spark):
+    """Distances are 1.15 give or take what single precision rounds."""
+    r = np.random.default_rng(8)
+    base = r.normal(size=(300, 64))
+    step = r.normal(size=(300, 64))
+    step *= 1.15 / np.linalg.norm(step, axis=1)[:, None]
+    x = np.concatenate([base, base + step]).astype("float32")
+    table = {"vec_id": range(600), "label": [i % 300 for i in range(600)], "embedding": x.tolist()}
+    rows = spark.createDataFrame(list(zip(*table.values())), "vec_id long, label int, embedding array<float>")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, label INT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", list(zip(*table.values())))
+    want = set(con.execute(catalog.oracle_sql()["embedding_pairs"]).fetchall())
+    got = {(p.i, p.j) for p in clustering.embedding_pairs(rows, 1.15, single=True).collect()}
+    assert got == want and 0 < len(want) < 300
+    assert {(p.i, p.j) for p in clustering.embedding_pairs(rows, 1.15).collect()} != want  # double precision decides some otherwise
