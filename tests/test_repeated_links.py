@@ -69,3 +69,10 @@ def test_pairs_at_the_limit_are_decided_as_sql_does(spark):
     got = {(p.i, p.j) for p in clustering.embedding_pairs(rows, 1.15, single=True).collect()}
     assert got == want and 0 < len(want) < 300
     assert {(p.i, p.j) for p in clustering.embedding_pairs(rows, 1.15).collect()} != want  # double precision decides some otherwise
+
+
+def test_clusters_that_take_more_than_six_rounds(spark):
+    """Gaps that grow along a line: each round of mutual neighbours joins one pair. All is joined, however many rounds that takes."""
+    at = np.cumsum(1.02 ** np.arange(12) * 0.1)
+    rows = spark.createDataFrame([(i, [float(a)], 1) for i, a in enumerate(at)], "vec_id long, embedding array<double>, label int")
+    assert {c.cluster for c in clustering.embedding_clusters(rows, 50.0).collect()} == {0}
