@@ -10,7 +10,7 @@ segments one after another, and segments repeat. Only distinct segments are enco
 text. A text with a segment whose bytes don't come back is encoded whole instead.
 
 Link counts over the corpus: a block sends each of its id pairs once, with its sum; counts and the highest count of each B id
-come back to the blocks that asked, and a block adds up its documents. Its links stand in a table in the shared folder meanwhile,
+come back to the blocks that asked, and a block adds up its documents, each block by itself (a cogroup). Its links stand in a table in the shared folder meanwhile,
 so texts are read and encoded once. No row is as large as the corpus: a block is bounded, a pair's rows are the blocks that hold it,
 and rows of one B id are at most as many as A has tokens.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -38,6 +39,8 @@ from factloom.llm.segments import cut
 SPACE = "▁"
 #: Segments up to so many characters are kept for later blocks, up to so many at once; as are steps of the transducer.
 KEPT_CHARS, KEPT, STEPS = 48, 300_000, 500_000
+#: Blocks of one row group of the table of blocks.
+GROUP = 4
 
 
 def byte_level() -> dict[str, int]:
@@ -151,7 +154,7 @@ class Aligner:
         self.known: dict[str, tuple | None] = {}
 
     def entries(self, segments: list[str]) -> list[tuple | None]:
-        """Of each segment: tokens of A and B, groups, its groups as text, its links as numbers; None if bytes differ."""
+        """Of each segment: tokens of A and B, groups, its groups as text, its links as bytes of 64-bit numbers; None if bytes differ."""
         new = [x for x in segments if x not in self.known]
         made: dict[str, tuple | None] = {}
         for i in range(0, len(new), 2000):
@@ -192,7 +195,7 @@ class Aligner:
         if found is None or b"".join(map(self.transducer.bytes[0].__getitem__, a)) != (" " + text).encode():
             return None
         groups, links = found
-        return len(a), len(b), len(groups), ";".join(groups), links
+        return len(a), len(b), len(groups), ";".join(groups), array("q", links).tobytes()
 
     def block(self, texts: list[str]) -> dict:
         """Of a block of texts: columns with an item a text, its distinct id pairs with their sums, and each text's pairs by place.
@@ -211,7 +214,7 @@ class Aligner:
             entries = self.entries(names)
             failed = {p for p, e in zip(names, entries, strict=True) if e is None}
             rows = [row if failed.isdisjoint(row) else [] for row in rows]
-            entries = [(0, 0, 0, "", []) if e is None else e for e in entries]
+            entries = [(0, 0, 0, "", b"") if e is None else e for e in entries]
         place = {p: i for i, p in enumerate(names)}
         lengths = np.array([len(row) for row in rows], np.int64)
         of_text = np.repeat(np.arange(len(rows)), lengths)
@@ -226,8 +229,8 @@ class Aligner:
 
     @staticmethod
     def _pairs(entries: list[tuple], of_text: np.ndarray, segment: np.ndarray, n: int) -> dict:
-        sizes = np.array([len(e[4]) for e in entries], np.int64)
-        links = np.fromiter(chain.from_iterable(e[4] for e in entries), np.int64, int(sizes.sum()))
+        sizes = np.array([len(e[4]) // 8 for e in entries], np.int64)
+        links = np.frombuffer(b"".join([e[4] for e in entries]), np.int64)
         pairs, at = np.unique(links, return_inverse=True)
         starts = np.cumsum(sizes) - sizes
         both, times = np.unique(of_text * max(1, len(entries)) + segment, return_counts=True)
@@ -305,27 +308,26 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 
 def alignment(docs: DataFrame, a_path: str, b_path: str, block_bytes: int = 4_000_000) -> DataFrame:
     """RESULT of every row of docs(doc_id, text)."""
-    blocks = materialise(aligned_blocks(docs, a_path, b_path, block_bytes), "aligned")
-    asked = blocks.select("block", F.posexplode("pairs").alias("i", "pair"))
-    answers = asked.join(pair_counts(blocks), "pair").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("i", "count", "highest"))).alias("found"))  # as many as the block asked for
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch[c][i].values for c in (*own, "n_pairs", "pair", "times")}
-                n_pairs, pair, times = (row[c].to_numpy() for c in ("n_pairs", "pair", "times"))
-                of_text = np.repeat(np.arange(len(n_pairs)), n_pairs)
-                count = highest = np.zeros(0, np.int64)
-                if batch["count"][i].is_valid:
-                    count, highest = batch["count"][i].values.to_numpy(), batch["highest"][i].values.to_numpy(zero_copy_only=False)
-                total, best = np.zeros(len(n_pairs), np.int64), np.zeros(len(n_pairs), np.int64)
-                np.add.at(total, of_text, times * count[pair])
-                np.add.at(best, of_text, times * highest[pair])
-                made = {c: row[c] for c in own} | {"n_best": pa.array(best), "count_sum": pa.array(total)}
-                yield pa.RecordBatch.from_arrays([made[c] for c in names], names)
-        released()
+    # A row is a block: writers and readers hold a row group at a time, and would else take a hundred rows or a whole file.
+    blocks = materialise(aligned_blocks(docs, a_path, b_path, block_bytes), "aligned", **{"parquet.block.row.count.limit": str(GROUP)})
+    asked = blocks.select(F.col("block").alias("asker"), F.posexplode("pairs").alias("i", "pair"))
+    answers = asked.join(pair_counts(blocks), "pair").select("asker", "i", "count", "highest")  # as many as the block asked for
+
+    def add(block: pa.Table, answer: pa.Table) -> pa.Table:
+        """The result rows of one block."""
+        row = {c: block[c].combine_chunks()[0].values for c in (*own, "n_pairs", "pair", "times")}
+        n_pairs, pair, times = (row[c].to_numpy() for c in ("n_pairs", "pair", "times"))
+        of_text = np.repeat(np.arange(len(n_pairs)), n_pairs)
+        count = np.zeros(answer.num_rows, np.int64)
+        highest = np.zeros(answer.num_rows, np.int64)
+        at = answer["i"].to_numpy()
+        count[at], highest[at] = answer["count"].to_numpy(), answer["highest"].to_numpy()
+        total, best = np.zeros(len(n_pairs), np.int64), np.zeros(len(n_pairs), np.int64)
+        np.add.at(total, of_text, times * count[pair])
+        np.add.at(best, of_text, times * highest[pair])
+        made = {c: row[c] for c in own} | {"n_best": pa.array(best), "count_sum": pa.array(total)}
+        return pa.table([made[c] for c in names], names)
 
     own = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
     names = [x.split()[0] for x in RESULT.split(", ")]
-    both = blocks.drop("pairs", "totals").join(answers, "block", "left").select(*own, "n_pairs", "pair", "times", F.col("found.count").alias("count"), F.col("found.highest").alias("highest"))
-    return both.mapInArrow(add, RESULT)
+    return blocks.drop("pairs", "totals").groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(add, RESULT)
