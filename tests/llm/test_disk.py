@@ -2,7 +2,8 @@
 
 import time
 
-from factloom.llm import common, op7_line_dedup
+import corpus_pipeline
+from factloom.llm import common, op7_line_dedup, op9_suffix_dedup
 from pyspark.sql import functions as F
 from tests.llm.helpers import awkward, documents
 
@@ -33,9 +34,18 @@ def test_only_marks_stay(spark):
     rows = {
         "lines": lambda: op7_line_dedup.line_digests(docs),
         "kept lines": lambda: op7_line_dedup.deduplicated(docs),
+        "bytes": lambda: op9_suffix_dedup.dedup_digests(docs),
+        "copies": lambda: corpus_pipeline.ngram_jaccard(spark, docs, ""),
     }
     for name, make in rows.items():
         before = tables(spark)
         out = make()
         assert len(tables(spark) - before) <= 1, name
         assert out.count() > 0
+
+
+def test_pipeline_keeps_the_last_table_only(spark):
+    before = tables(spark)
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in tables(spark) - before] == ["after-suffix_dedup"]
+    assert out.count() > 0
